@@ -109,9 +109,13 @@ def lower_median(
 
 
 def quantiles(
-    df: DataFrame, group: Sequence[str], value: str, points: Mapping[str, float], weight: str | None = None
+    df: DataFrame, group: Sequence[str], value: str, points: Mapping[str, float], weight: str | None = None,
+    lower_middle: str | None = None,
 ) -> DataFrame:
-    """Linearly interpolated quantiles, one output column per entry of ``points``."""
+    """Linearly interpolated quantiles, one output column per entry of ``points``.
+
+    ``lower_middle`` also asks for the lower median, under that name, from the same pass.
+    """
 
     def position(n: Column, p: float) -> Column:
         return (n - F.lit(1)) * F.lit(float(p))
@@ -120,12 +124,16 @@ def quantiles(
     for name, p in points.items():
         ranks[f"{name}__lo"] = lambda n, p=p: F.floor(position(n, p)) + F.lit(1)
         ranks[f"{name}__hi"] = lambda n, p=p: F.ceil(position(n, p)) + F.lit(1)
+    if lower_middle is not None:
+        ranks[lower_middle] = _lower_middle
     picked = rank_select(df, group, value, ranks, weight)
     columns = [F.col(g) for g in group]
     for name, p in points.items():
         at = position(F.col("n_values"), p)
         low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         columns.append((low + (high - low) * (at - F.floor(at))).alias(name))
+    if lower_middle is not None:
+        columns.append(F.col(lower_middle))
     return picked.select(*columns)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from listing_lake.functions.dates import iso_day, iso_year
+from listing_lake.functions.dates import iso_day
 from listing_lake.functions.geo import mercator_lat, mercator_lon
 
 # The communes of the area, with the name the polygon file uses and the centre.
@@ -55,17 +55,19 @@ def read_level_map(documents: DataFrame, column: str = "document") -> tuple[Data
     return levels, default
 
 
-def explode_rate_series(documents: DataFrame, column: str = "document") -> DataFrame:
+def explode_rate_series(documents: DataFrame, order: str = "path", column: str = "document") -> DataFrame:
     """Published rates ``fecha_valor, valor`` from yearly series documents, one row per date.
 
-    Where a date is published twice the later year's document, then the later position, counts.
+    ``order`` names the column that ranks the documents (their year, or a path that contains it): for
+    a date published twice the later document counts, and within one the later position.
     """
-    items = documents.select(F.posexplode(F.from_json(column, _SERIES)["serie"]).alias("pos", "item"), F.col(column).alias("doc"))
-    first_year = iso_year(F.get_json_object("doc", "$.serie[0].fecha"))
+    items = documents.select(
+        F.col(order).alias("__doc"), F.posexplode(F.from_json(column, _SERIES)["serie"]).alias("pos", "item")
+    )
     return (
         items.select(
             iso_day(F.col("item.fecha")).alias("fecha_valor"), F.col("item.valor").alias("valor"),
-            F.struct(first_year.alias("year"), "pos").alias("version"),
+            F.struct("__doc", "pos").alias("version"),
         )
         .filter(F.col("fecha_valor").isNotNull())
         .groupBy("fecha_valor")
