@@ -199,10 +199,10 @@ def same_point(v: Views):
     near AS (SELECT p.id_aviso, quantile_disc(r.antiguedad_anos, 0.5) AS m FROM listings p
       JOIN reference r ON p.antiguedad_anos IS NULL AND p.latitud IS NOT NULL AND {GAP_SQL} <= 200 GROUP BY p.id_aviso),
     com AS (SELECT comuna, quantile_disc(antiguedad_anos, 0.5) AS m FROM reference GROUP BY comuna),
-    glob AS (SELECT quantile_disc(antiguedad_anos, 0.5) AS m FROM reference)
-    SELECT l.id_aviso, COALESCE(l.antiguedad_anos, same.m, near.m, com.m, glob.m) AS antiguedad_anos
+    todo AS (SELECT quantile_disc(antiguedad_anos, 0.5) AS m FROM reference)
+    SELECT l.id_aviso, COALESCE(l.antiguedad_anos, same.m, near.m, com.m, todo.m) AS antiguedad_anos
     FROM listings l LEFT JOIN same ON same.id_aviso = l.id_aviso LEFT JOIN near ON near.id_aviso = l.id_aviso
-    LEFT JOIN com ON com.comuna = l.comuna CROSS JOIN glob""",
+    LEFT JOIN com ON com.comuna = l.comuna CROSS JOIN todo""",
     ["listings", "reference"],
 )
 def age_cascade(v: Views):

@@ -173,17 +173,18 @@ def poi_columns(categories: Column, radius_m: float = POI_RADIUS_M) -> dict[str,
     kind is listed twice the later list counts.
     """
     groups = F.flatten(F.transform(F.from_json(categories, CATEGORIES_TYPE), lambda c: c["subcategories"]))
-    columns: dict[str, Column] = {}
-    for title, kind in POI_KINDS.items():
-        listed = F.filter(groups, lambda g, title=title: fold_accents(g["title"]["text"]) == title)
-        distances = F.filter(
-            F.transform(
-                F.coalesce(F.try_element_at(listed, F.lit(-1))["items"], F.array()),
-                lambda i: parse_distance_m(i["subtitle"]["label"]["text"]),
-            ),
-            lambda d: d <= radius_m,
+    none = F.array().cast("array<struct<subtitle:struct<label:struct<text:string>>>>")
+
+    def summary(title: str) -> tuple[Column, Column]:
+        listed = F.filter(groups, lambda g: fold_accents(g["title"]["text"]) == title)
+        items = F.coalesce(F.try_element_at(listed, F.lit(-1))["items"], none)
+        near = F.filter(
+            F.transform(items, lambda i: parse_distance_m(i["subtitle"]["label"]["text"])), lambda d: d <= radius_m
         )
         present = F.size(listed) > 0
-        columns[f"cantidad_{kind}"] = F.when(present, F.size(distances))
-        columns[f"distancia_min_m_{kind}"] = F.when(present, F.array_min(distances))
+        return F.when(present, F.size(near)), F.when(present, F.array_min(near))
+
+    columns: dict[str, Column] = {}
+    for title, kind in POI_KINDS.items():
+        columns[f"cantidad_{kind}"], columns[f"distancia_min_m_{kind}"] = summary(title)
     return columns
