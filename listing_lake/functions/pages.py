@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,25 +166,35 @@ def publication_state(has_status: Column, status_text: Column) -> Column:
     )
 
 
-def poi_columns(categories: Column, radius_m: float = POI_RADIUS_M) -> dict[str, Column]:
+def poi_groups(categories: Column, radius_m: float = POI_RADIUS_M) -> Column:
+    """Array of ``kind title, distances within the radius`` from the categories document."""
+    groups = F.flatten(F.transform(F.from_json(categories, CATEGORIES_TYPE), lambda c: c["subcategories"]))
+    none = F.array().cast("array<struct<subtitle:struct<label:struct<text:string>>>>")
+
+    def near(group: Column) -> Column:
+        distances = F.transform(
+            F.coalesce(group["items"], none), lambda i: parse_distance_m(i["subtitle"]["label"]["text"])
+        )
+        return F.filter(distances, lambda d: d <= radius_m)
+
+    return F.transform(groups, lambda g: F.struct(fold_accents(g["title"]["text"]).alias("title"), near(g).alias("near")))
+
+
+def with_poi_summary(df: DataFrame, categories: str, radius_m: float = POI_RADIUS_M) -> DataFrame:
     """Per kind of place: how many lie within ``radius_m`` and the nearest of those.
 
     A kind that is listed without places nearby counts 0; a kind that is not listed is NULL.  When a
-    kind is listed twice the later list counts.
+    kind is listed twice the later list counts.  The document is read once, not once per column.
     """
-    groups = F.flatten(F.transform(F.from_json(categories, CATEGORIES_TYPE), lambda c: c["subcategories"]))
-    none = F.array().cast("array<struct<subtitle:struct<label:struct<text:string>>>>")
+    df = df.withColumn("__groups", poi_groups(F.col(categories), radius_m))
 
-    def summary(title: str) -> tuple[Column, Column]:
-        listed = F.filter(groups, lambda g: fold_accents(g["title"]["text"]) == title)
-        items = F.coalesce(F.try_element_at(listed, F.lit(-1))["items"], none)
-        near = F.filter(
-            F.transform(items, lambda i: parse_distance_m(i["subtitle"]["label"]["text"])), lambda d: d <= radius_m
-        )
-        present = F.size(listed) > 0
-        return F.when(present, F.size(near)), F.when(present, F.array_min(near))
+    def listed(title: str) -> Column:
+        return F.try_element_at(F.filter("__groups", lambda g: g["title"] == title), F.lit(-1))["near"]
 
+    df = df.withColumn("__near", F.struct(*[listed(title).alias(kind) for title, kind in POI_KINDS.items()]))
     columns: dict[str, Column] = {}
-    for title, kind in POI_KINDS.items():
-        columns[f"cantidad_{kind}"], columns[f"distancia_min_m_{kind}"] = summary(title)
-    return columns
+    for kind in POI_KINDS.values():
+        near = F.col(f"__near.{kind}")
+        columns[f"cantidad_{kind}"] = F.when(near.isNotNull(), F.size(near))
+        columns[f"distancia_min_m_{kind}"] = F.array_min(near)
+    return df.withColumns(columns).drop("__groups", "__near")

@@ -60,14 +60,16 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 def split_heavy(
     left: DataFrame, right: DataFrame, keys: Sequence[str], spread: Sequence[str] | None = None,
-    min_rows: int = HEAVY_ROWS,
+    min_rows: int = HEAVY_ROWS, counted: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Add ``__salt`` to both sides so that ``keys + __salt`` has no heavy key on the left.
 
     ``spread`` names the left columns whose hash picks the split (all columns by default).  Rows
-    with a missing key match nothing, so they are spread without touching the right side.
+    with a missing key match nothing, so they are spread without touching the right side.  The keys
+    are counted on ``counted`` when it is given: the same rows at an earlier, cheaper step.
     """
-    heavy = heavy_keys(left.select(*keys).filter(~_any_null(keys)), keys, min_rows)
+    source = left if counted is None else counted
+    heavy = heavy_keys(source.select(*keys).filter(~_any_null(keys)), keys, min_rows)
     digest = F.xxhash64(*[F.col(c) for c in (spread or left.columns)])
     salted_left = (
         left.join(F.broadcast(heavy), list(keys), "left")  # fewer than HEAVY_PARTS rows
@@ -89,7 +91,7 @@ def split_heavy(
 
 def skew_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-    spread: Sequence[str] | None = None, min_rows: int = HEAVY_ROWS,
+    spread: Sequence[str] | None = None, min_rows: int = HEAVY_ROWS, counted: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join on ``keys`` that splits the heavy keys of ``left``.
 
@@ -98,7 +100,7 @@ def skew_join(
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"join type {how!r} does not keep each left row in one split")
-    salted_left, salted_right = split_heavy(left, right, keys, spread, min_rows)
+    salted_left, salted_right = split_heavy(left, right, keys, spread, min_rows, counted)
     return salted_left.join(salted_right, [*keys, _SALT], how).drop(_SALT)
 
 

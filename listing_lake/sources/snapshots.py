@@ -28,6 +28,14 @@ def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str], mode: s
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def append_rows(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """Add ``df`` to the table at ``path``, partitioned by ``by`` when given; returns the whole table."""
+    if by is not None:
+        return write_partitioned(df, path, by, mode="append")
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def compact(df: DataFrame, path: str, by: str, target_files: int) -> DataFrame:
     """Rewrite into about ``target_files`` files of adjacent ``by`` ranges.
 
