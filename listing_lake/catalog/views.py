@@ -184,6 +184,20 @@ FROM {corners}
 """
 
 
+#: Tables whose rows the queries work on; the others are looked up.
+FACTS = {"orders", "pages"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core rows to work on when the files have fewer splits than there are cores.
+
+    A single small file is one split, so all per-row work would run in one task.  A table with enough
+    splits, as any large one has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _needs(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", VIEWS[name])))
 
@@ -197,7 +211,8 @@ class Views:
 
     def __call__(self, name: str) -> DataFrame:
         if name not in VIEWS:
-            return load(self.spark, self.folder, name)
+            df = load(self.spark, self.folder, name)
+            return spread(df) if name in FACTS else df
         return self.sql(VIEWS[name], *_needs(name))
 
     def sql(self, text: str, *names: str) -> DataFrame:

@@ -56,26 +56,21 @@ def rank_select(
     counted = by_slice.withColumns(
         {"__upto": F.sum("__bw").over(running), "n_values": F.sum("__bw").over(Window.partitionBy(*group))}
     )
-    wanted = (
-        counted.withColumn(
-            "__r",
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(name).alias("name"), rank(F.col("n_values")).cast("long").alias("rank"))
-                        for name, rank in ranks.items()
-                    ]
-                )
-            ),
-        )
-        .filter((F.col("__r.rank") > F.col("__upto") - F.col("__bw")) & (F.col("__r.rank") <= F.col("__upto")))
-        .select(
-            *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
-            F.col("__b").alias("__tb"),
-            "n_values",
-            F.col("__r.name").alias("__name"),
-            (F.col("__r.rank") - F.col("__upto") + F.col("__bw")).alias("__k"),
-        )
+    asked = F.array(
+        *[
+            F.struct(F.lit(name).alias("name"), rank(F.col("n_values")).cast("long").alias("rank"))
+            for name, rank in ranks.items()
+        ]
+    )
+    before = F.col("__upto") - F.col("__bw")
+    # the ranks that fall into the slice are picked before the explode, so most slices give no row
+    here = F.filter(asked, lambda r: (r["rank"] > before) & (r["rank"] <= F.col("__upto")))
+    wanted = counted.withColumn("__r", F.explode(here)).select(
+        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
+        F.col("__b").alias("__tb"),
+        "n_values",
+        F.col("__r.name").alias("__name"),
+        (F.col("__r.rank") - before).alias("__k"),
     )
     same = F.col("__b") == F.col("__tb")
     for i, g in enumerate(group):
