@@ -32,25 +32,25 @@ def build_session(app: str = "listing-lake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+#: Local stand-ins for the shared folder, by application, for sessions that name none.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session that names none (tests, a laptop) gets a fresh local folder, and that choice is
-    written back to the session so that one session keeps one root.
+    Only a session that names none (tests, a laptop) gets a fresh local folder, the same one for the
+    life of the application.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="listing-lake-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="listing-lake-")
+        root = _LOCAL_ROOTS[application]
     return root.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder unless the cluster already did."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))

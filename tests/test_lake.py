@@ -11,7 +11,7 @@ from listing_lake.plans import clean, lake
 from listing_lake.plans.scoring import read_calibration
 from listing_lake.session import fresh_path
 from listing_lake.sources import snapshots, tables
-from listing_lake.schemas import SELECTED_FEATURES, TRAINING_ROWS
+from listing_lake.schemas import GROUP_STATISTICS, PREDICTIONS, REFERENCE, SELECTED_FEATURES, STATISTICS, TRAINING_ROWS
 from listing_lake.streaming import micro_batches
 
 FOLDER = "/root/testdata/sf0.001"
@@ -47,8 +47,14 @@ def test_two_increments_equal_one_pass_and_a_rerun_adds_nothing(spark, views):
             out = lake.advance(root, part, details, views("rates"), catalog_lake._polygons(views), frozen, model, by_day=None)
         return rows(out.drop(*drop))
 
-    once = run(fresh_path(spark, "once"), [listings])
+    root = fresh_path(spark, "once")
+    once = run(root, [listings])
     assert once and run(fresh_path(spark, "twice"), [half, listings, listings]) == once
+    for name, schema in {
+        "predicciones": PREDICTIONS, "poblacion_referencia": REFERENCE, "referencia_estadisticas": STATISTICS,
+        "referencia_estadisticas_por_comuna": GROUP_STATISTICS,
+    }.items():
+        assert dict(spark.read.parquet(f"{root}/{name}").dtypes) == {f.name: f.dataType.simpleString() for f in schema}
 
 
 def test_first_run_and_table_switch(spark, views):
@@ -57,6 +63,12 @@ def test_first_run_and_table_switch(spark, views):
     assert existing_table(spark, "some_ids").count() == 3
 
 
+def test_shared_folder_is_the_one_the_session_names(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert named and fresh_path(spark, "x").startswith(f"{named}/x-")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
 def test_malformed_publication_day_gets_no_rate(spark):
     df = spark.createDataFrame(
         [("a", "2024-13-01", "2024-01-01"), ("b", None, "2024-01-01"), ("c", "2024-01-01", "x")],
