@@ -20,6 +20,9 @@ from listing_lake.session import fresh_path
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _STATE = {
     _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # no space is reserved ahead, which would be megabytes for each of many small stores
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listing_lake.llm import exact_dedup, mixing, sharding
+from listing_lake.llm import exact_dedup, mixing, sharding, substrings
 from listing_lake.llm.tables import load
 
 
@@ -41,10 +41,15 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(load(spark, folder, "documents"), length=35, keep_text=False)
+
+
 QUERIES = {
     "op2_exact_copies": exact_copies,
     "op3_histogram_shards": histogram_shards,
     "op4_source_mix": source_mix,
+    "op5_repeated_windows": repeated_windows,
 }
 
 ORACLES = {
