@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listing_lake.llm import exact_dedup, mixing, sharding, substrings
+from listing_lake.llm import embeddings, exact_dedup, language, mixing, sharding, substrings, urls
 from listing_lake.llm.tables import load
 
 
@@ -45,13 +45,59 @@ def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(load(spark, folder, "documents"), length=35, keep_text=False)
 
 
+RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+def url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame([(r.verdict, r.host, r.path) for r in RULES], "verdict string, host string, path string")
+    return urls.judge(load(spark, folder, "pages"), rules)
+
+
+URL_RULES_SQL = """
+    WITH rules(verdict, host, path) AS (VALUES %s),
+    p AS (
+        SELECT page_id, row_number() OVER () AS n,
+               coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+               coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+        FROM pages
+    ),
+    best AS (
+        SELECT n, arg_max(r, length(r.host || r.path)) AS r
+        FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+        GROUP BY n
+    )
+    SELECT page_id, host, path, r.host || r.path AS rule, coalesce(r.verdict, 'allow') AS verdict
+    FROM p LEFT JOIN best USING (n)
+""" % ", ".join(str((r.verdict, r.host, r.path)) for r in RULES)
+
+
+def near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.links(load(spark, folder, "embeddings"), threshold=0.98)
+
+
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    return language.predict(docs, language.train(docs))
+
+
 QUERIES = {
     "op2_exact_copies": exact_copies,
     "op3_histogram_shards": histogram_shards,
     "op4_source_mix": source_mix,
     "op5_repeated_windows": repeated_windows,
+    "op7_url_rules": url_rules,
+    "op8_near_vectors": near_vectors,
+    "op10_languages": languages,
 }
 
 ORACLES = {
     "op2_exact_copies": EXACT_COPIES_SQL,
+    "op7_url_rules": URL_RULES_SQL,
 }
