@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listing_lake.llm import embeddings, exact_dedup, language, mixing, sharding, substrings, urls
+from listing_lake.llm import embeddings, exact_dedup, language, mixing, near_dup, packing, sharding, substrings, urls
 from listing_lake.llm.tables import load
 
 
@@ -87,13 +88,29 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(docs, language.train(docs))
 
 
+def near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dup.classes(load(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "group_size", "kept")
+
+
+#: The tokenizer of the packing query; the file stays where it is installed.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def packed(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(load(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op2_exact_copies": exact_copies,
     "op3_histogram_shards": histogram_shards,
     "op4_source_mix": source_mix,
     "op5_repeated_windows": repeated_windows,
+    "op6_near_copies": near_copies,
     "op7_url_rules": url_rules,
     "op8_near_vectors": near_vectors,
+    "op9_packed": packed,
     "op10_languages": languages,
 }
 
