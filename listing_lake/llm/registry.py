@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listing_lake.llm import embeddings, exact_dedup, language, mixing, near_dup, packing, sharding, substrings, urls
+from listing_lake.llm import embeddings, exact_dedup, language, mixing, near_dup, packing, quality, sharding, substrings, urls
 from listing_lake.llm.tables import load
 
 
+def site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The source stands for the host, and the source's part in one language for the path."""
+    docs = load(spark, folder, "documents")
+    return quality.judge(docs, load(spark, folder, "labels"), F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
 def exact_copies(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.classes(load(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -103,6 +109,7 @@ def packed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_site_quality": site_quality,
     "op2_exact_copies": exact_copies,
     "op3_histogram_shards": histogram_shards,
     "op4_source_mix": source_mix,
