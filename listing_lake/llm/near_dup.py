@@ -5,8 +5,9 @@ weight, cut at powers of two: the points of the pieces below a document's weight
 documents that hold the shingle as often.  The earliest point per component of the signature is the
 signature; two documents agree in a component with the probability of their weighted Jaccard
 similarity.  Only points early enough to matter are made.  Documents that agree in a band are compared
-with the first of the band, exactly; where a band then still spans several groups, all its pairs across
-groups are compared, so no candidate is skipped.
+with the first of the band, exactly.  Bands that overlap make a family; where a family still has several
+groups, all its documents are compared in tiles, so no candidate is skipped, and a pair of tiles returns
+only the links that join groups.
 """
 
 from __future__ import annotations
@@ -152,15 +153,65 @@ def _verify(least: float):
     return run
 
 
-def _links(pairs: DataFrame, placed: DataFrame, bag: DataFrame, least: float) -> DataFrame:
+def _star_links(stars: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs that reach the similarity, by their whole texts."""
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    texts = placed.join(bag.join(wanted, "node").select("node", FILE, ROW), [FILE, ROW]).select("node", "text")
-    texts = written(texts, "candidates")
-    both = pairs.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
+    both = stars.join(texts.toDF("u", "text_u"), "u").join(texts.toDF("v", "text_v"), "v")
     return written(both.select("u", "v", "text_u", "text_v").mapInArrow(_verify(least), "u long, v long"), "near-links")
 
 
+#: Documents of a family that are compared at once, and shingles that are multiplied at once.
+_TILE, _COLUMNS = 512, 4096
+
+
+def _family_links(stars: DataFrame, groups: DataFrame, texts: DataFrame, least: float, tile: int = _TILE) -> DataFrame:
+    """Links that join groups of one family; each pair of tiles is a task of its own."""
+    families = components(stars).toDF("node", "family")
+    labelled = families.join(groups.toDF("node", "own"), "node", "left").withColumn("own", F.coalesce("own", "node"))
+    mixed = labelled.groupBy("family").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high"))
+    mixed = mixed.filter("low < high").select("family", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    tiled = labelled.join(mixed, "family").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    paired = tiled.join(texts, "node").select(
+        "family", "tile", "node", "own", "text", F.explode(F.expr("sequence(0, tiles - 1)")).alias("other")
+    ).withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")})
+
+    def run(rows: pa.Table) -> pa.Table:
+        return _compare(rows, least)
+
+    found = paired.select("family", "i", "j", "tile", "node", "own", "text").groupBy("family", "i", "j").applyInArrow(run, "u long, v long")
+    return written(found, "family-links")
+
+
+def _compare(rows: pa.Table, least: float) -> pa.Table:
+    """Links between two tiles, or within one, as far as they join different groups."""
+    node, own = rows.column("node").to_numpy(), rows.column("own").to_numpy()
+    first = rows.column("tile").to_numpy() == rows.column("i")[0].as_py()
+    inner = rows.column("i")[0] == rows.column("j")[0]
+    doc, shingle, weight = bags(words.split(rows.column("text").combine_chunks()))
+    # the nth copy of a shingle is an element of its own, which makes common weight a product of 0 and 1
+    total = np.bincount(doc, weight, len(node))
+    copy = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    element = words.mix(np.repeat(shingle, weight) + _SEEDS[0] * copy.astype(np.uint64))
+    doc = np.repeat(doc, weight)
+    order = np.argsort(element, kind="stable")
+    doc, new = doc[order], np.append(True, np.diff(element[order]) != 0)
+    column, size = np.cumsum(new) - 1, np.diff(np.append(np.flatnonzero(new), len(doc)))
+    shared = size[column] > 1
+    doc, column = doc[shared], column[shared]
+    column = np.cumsum(np.append(True, np.diff(column) != 0)) - 1 if len(column) else column
+    left = np.flatnonzero(first)
+    right = left if inner else np.flatnonzero(~first)
+    common = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        a, b = np.searchsorted(column, [start, start + _COLUMNS])
+        has = np.zeros((len(node), _COLUMNS), np.float32)
+        has[doc[a:b], column[a:b] - start] = 1
+        common += has[left] @ has[right].T
+    union = total[left][:, None] + total[right][None, :] - common
+    x, y = np.nonzero((common >= (least - 1e-12) * union) & (own[left][:, None] != own[right][None, :]))
+    pairs = pa.table({"u": own[left][x], "v": own[right][y]})
+    return pairs.group_by(["u", "v"]).aggregate([])
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row per document: ``doc_id``, ``class_id``, ``group_size``, ``kept``, and its place.
 
@@ -188,14 +239,14 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     shared = marks.groupBy("mark").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("members")).filter("members > 1")
     # min / max of two totals bounds the similarity
     near = F.least("n", "first.n") >= F.greatest("n", "first.n") * least - 1e-9
-    members = written(marks.join(shared, "mark").select("mark", "node", "n", "first"), "bands")
-    stars = members.filter(F.col("node") != F.col("first.node")).filter(near).select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct()
-    links = _links(written(stars, "stars"), placed, bag, least)
+    stars = marks.join(shared, "mark").filter(F.col("node") != F.col("first.node")).filter(near).select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct()
+    stars = written(stars, "stars")
+    wanted = stars.select(F.col("u").alias("node")).union(stars.select("v")).distinct()
+    texts = written(placed.join(bag.join(wanted, "node").select("node", FILE, ROW), [FILE, ROW]).select("node", "text"), "candidates")
+    links = _star_links(stars, texts, least)
+    groups = components(links)
+    links = links.union(_family_links(stars, groups, texts, least))
     groups = components(links)
-    crossing = _crossing(members, groups, least)
-    if not crossing.isEmpty():
-        links = links.union(_links(crossing, placed, bag, least))
-        groups = components(links)
 
     named = bag.join(groups, "node", "left").select("a", "b", "copies", "at", F.coalesce("component", "node").alias("component"))
     heads = named.groupBy("component").agg(F.min("at").alias("head"), F.sum("copies").alias("group_size"))
@@ -209,18 +260,6 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return joined.unionByName(alone)
 
 
-def _crossing(members: DataFrame, groups: DataFrame, least: float) -> DataFrame:
-    """Pairs that share a band but no group, other than those with the band's first."""
-    grouped = members.filter("node <> first.node").join(groups, "node", "left").select(
-        "mark", "node", "n", F.coalesce("component", "node").alias("component")
-    )
-    several = grouped.groupBy("mark").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("mark")
-    open_ = grouped.join(several, "mark")
-    other = open_.select("mark", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    pairs = open_.join(other, "mark").filter("component < component2").filter(F.least("n", "n2") >= F.greatest("n", "n2") * least - 1e-9)
-    return written(pairs.select(F.col("node").alias("u"), F.col("node2").alias("v")).distinct(), "crossing")
-
-
 def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that :func:`classes` keeps, with all their columns."""
     kept = classes(docs, least).filter("kept").select(FILE, ROW)

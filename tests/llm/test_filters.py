@@ -1,0 +1,194 @@
+"""Quality, language and URL rules."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from listing_lake.llm import language, quality, urls, words
+
+EN = "the quick brown fox jumps over the lazy dog while seven children watch from behind their garden fence".split()
+DE = "der schnelle braune fuchs springt über den faulen hund während sieben kinder hinter ihrem zaun zuschauen".split()
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string"
+
+
+def text(rng, pool, n):
+    return " ".join(rng.choice(pool) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(240):
+        lang, pool = ("en", EN) if i % 2 else ("de", DE)
+        rows.append((i, text(rng, pool, rng.randint(8, 60)), lang if i % 5 else None, f"s{i % 3}", 0, 0.5, "x"))
+    rows += [(900, None, "en", None, None, None, None), (901, "", "en", "s0", 0, 0.0, ""), (902, "12 .. 34 ²", None, "s1", 0, 0.0, "")]
+    rows += [(None, text(rng, EN, 30), "en", "s1", 0, 0.0, ""), (7, rows[7][1], None, "s1", 0, 0.0, ""), (7, rows[7][1], None, "s1", 0, 0.0, "")]
+    rows += [(903, text(rng, EN, 60_000), None, "s2", 0, 0.0, ""), (904, "x" * 300_000, None, "s2", 0, 0.0, "")]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def test_languages_of_unseen_documents(corpus):
+    model = language.train(corpus)
+    assert model.languages == ["de", "en"]
+    rows = language.predict(corpus, model).collect()
+    assert len(rows) == corpus.count()
+    truth = {r.doc_id: "en" if r.doc_id % 2 else "de" for r in rows if r.doc_id is not None and r.doc_id < 240}
+    held = [r for r in rows if r.held_out and r.doc_id in truth]
+    assert len(held) > 30 and all(r.lang_pred == truth[r.doc_id] for r in held)
+    assert all(0 <= r.score <= 1 for r in rows)
+    by_id = {r.doc_id: r for r in rows}
+    for i in (900, 901, 902):
+        assert (by_id[i].lang_pred, by_id[i].score, by_id[i].rejected) == ("und", 0.0, True)
+    assert by_id[903].lang_pred == "en" and by_id[None].lang_pred == "en" and not by_id[None].held_out
+    assert by_id[904].lang_pred in model.languages
+
+
+def test_language_looks_only_at_the_text(corpus):
+    model = language.train(corpus)
+    blank = corpus.withColumn("lang", F.lit(None).cast("string")).withColumn("source", F.lit("z"))
+    pick = lambda df: sorted((r.doc_id or -1, r.lang_pred, r.score) for r in language.predict(df, model).collect())
+    assert pick(corpus) == pick(blank)
+
+
+def test_language_sample_leaves_out_the_fold(corpus):
+    flipped = corpus.withColumn("lang", F.when(language.fold() == 2, "zz").otherwise(F.col("lang")))
+    assert "zz" not in language.train(flipped).languages
+
+
+def test_language_filter_keeps_rows_and_columns(corpus):
+    kept = language.keep_identified(corpus, language.train(corpus))
+    assert kept.columns == corpus.columns
+    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    assert not {900, 901, 902} & set(ids) and set(range(240)) <= set(ids) and ids.count(7) == 3
+
+
+def test_language_without_labels(spark, corpus):
+    none = corpus.filter("doc_id < 0")
+    assert language.train(none) is None and language.predict(none, None).collect() == []
+    rows = language.predict(corpus, None).collect()
+    assert {(r.lang_pred, r.score, r.rejected) for r in rows} == {("und", 0.0, True)}
+
+
+def test_scorer_memory_does_not_change_scores(corpus):
+    model = language.train(corpus)
+    long, short = language.Scorer(model), language.Scorer(model)
+    short.remembered = 3
+    for r in corpus.filter("doc_id < 40").collect():
+        one, two = long(r.text), short(r.text)
+        assert one[0] == two[0] and one[1] == pytest.approx(two[1], abs=1e-6)
+
+
+# --- quality ---------------------------------------------------------------------------------------
+
+
+def quality_rows(spark):
+    rng = random.Random(9)
+    docs, labels = [], []
+    for i in range(600):
+        good = rng.random() < (0.9 if i % 3 else 0.2)
+        body = text(rng, EN, 40) if good else " ".join([rng.choice(EN)] * 40)
+        docs.append((i, body, "en", "clean" if i % 3 else "dirty", 0, 0.0, ""))
+        if i % 2:
+            labels.append((i, int(good), 0))
+    docs += [(None, None, None, None, None, None, None), (1, docs[1][1], "en", "clean", 0, 0.0, ""), (990, "", "en", "rare", 0, 0.0, "")]
+    return spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+
+
+def judged(docs, labels):
+    return quality.judge(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+def test_quality_finds_bad_and_keeps_good(spark):
+    docs, labels = quality_rows(spark)
+    rows = judged(docs, labels).collect()
+    assert len(rows) == docs.count()
+    truth = {r.doc_id: len(set(r.text.split())) > 1 for r in docs.filter("doc_id < 600").collect()}
+    wrong = [r.doc_id for r in rows if r.doc_id in truth and r.kept != truth[r.doc_id]]
+    assert not wrong
+    assert all(0 < r.score < 1 for r in rows)
+
+
+def test_quality_rates_by_hand(spark):
+    docs, labels = quality_rows(spark)
+    rows = {r.doc_id: r for r in judged(docs, labels).collect()}
+    # the dirty site's prior is lower, and a site with one document stays at the rate of all
+    assert rows[3].host_rate < 0.5 < rows[4].host_rate
+    overall = np.mean([1 / (1 + np.exp(-r.evidence)) > 0.5 for r in rows.values()])
+    assert abs(rows[990].host_rate - overall) < 0.15
+
+
+def test_quality_own_label_is_not_used(spark):
+    docs, labels = quality_rows(spark)
+    alone = docs.filter("doc_id = 990").unionByName(docs.filter("doc_id < 600"))
+    one = judged(alone, labels.unionByName(spark.createDataFrame([(990, 1, 0)], labels.schema))).filter("doc_id = 990").first()
+    two = judged(alone, labels.unionByName(spark.createDataFrame([(990, 0, 0)], labels.schema))).filter("doc_id = 990").first()
+    assert abs(one.path_rate - two.path_rate) < 0.02
+
+
+def test_quality_without_labels_or_rows(spark):
+    docs, labels = quality_rows(spark)
+    rows = judged(docs, labels.filter("doc_id < 0")).collect()
+    assert {r.evidence for r in rows} == {0.0} and len(rows) == docs.count()
+    assert judged(docs.filter("doc_id < 0"), labels).collect() == []
+
+
+def test_measures_of_small_texts():
+    texts = pa.array(["a a b", None, "", "A1. B2!\n"])
+    got = quality.measures(words.split(texts), np.array([5, 0, 0, 8]))
+    name = {m: i for i, m in enumerate(quality.MEASURES)}
+    assert got[0, name["distinct words"]] == pytest.approx(2 / 3) and got[0, name["repeated neighbours"]] == pytest.approx(1 / 3)
+    assert not got[1].any() and not got[2].any()
+    assert got[3, name["upper case"]] == pytest.approx(2 / 8) and got[3, name["line ends"]] == pytest.approx(1 / 8)
+
+
+# --- url rules -------------------------------------------------------------------------------------
+
+RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"), ("block", "a.example.org", ""), ("allow", "org", "/es/long/path"), ("block", "net", "/x"), ("allow", "net", "/x"),
+]
+
+
+def brute(url, rules=RULES):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
+        rest = rest[cut:]
+        path = rest[: min([rest.index(c) for c in "?#" if c in rest], default=len(rest))]
+    fit = [
+        (len(h + p), h.count("."), v == "block", h + p, v) for v, h, p in rules
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    best = max(fit, default=None)
+    return host, path, best[3] if best else None, best[4] if best else "allow"
+
+
+def test_url_rules_against_brute_force(spark):
+    rng = random.Random(2)
+    hosts = ["org", "example.org", "www.Example.ORG", "xexample.org", "a.example.org", "b.a.example.org", "example.com", "com", "x.net", "", "example.org:80", "org.", "é.org"]
+    paths = ["", "/", "/es/", "/es/1", "/en/1", "/en/12", "/fr/", "/fr", "/de/x", "/x?/es/", "#/es/", "?a", "/es/long/path/a", "/X\n/y"]
+    urls_ = [f"https://{h}{p}" for h in hosts for p in paths] + [None, "", "no scheme", "http://", "a://b://c/d", "http://" + "s." * 3000 + "org/" + "p" * 50_000]
+    urls_ += [rng.choice(urls_) for _ in range(300)] + ["http://hot.example.org/es/1"] * 400
+    rows = [(i if i % 50 else None, u, "h", "r") for i, u in enumerate(urls_)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, key string, rule string")
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    got = sorted(map(repr, ((r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge(pages, rules).collect())))
+    assert got == sorted(repr((i, *brute(u))) for i, u, _, _ in rows)
+    assert urls.judge(pages.filter("url = 'none'"), rules).collect() == []
+    none = urls.judge(pages, rules.filter("host = 'none'"), default="block").collect()
+    assert len(none) == len(rows) and {(r.rule, r.verdict) for r in none} == {(None, "block")}
+
+
+def test_a_hot_key_is_spread_over_ranges():
+    borders = ["a.", "k.", "k.", "k.", "z."]
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(8)), "host": ["k"] * 8, "path": ["/"] * 8, "key": ["k."] * 8})
+    out = next(urls._ranges(borders)(iter([batch])))
+    assert set(out.column("range").to_pylist()) == {1, 2, 3, 4}
+    rule = pa.RecordBatch.from_pydict({"page_id": pa.array([None], pa.int64()), "host": ["k"], "path": ["/"], "key": ["k."], "verdict": ["block"]})
+    assert next(urls._touched(borders)(iter([rule]))).column("range").to_pylist() == [1, 2, 3, 4]
