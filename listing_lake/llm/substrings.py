@@ -23,11 +23,11 @@ from listing_lake.llm import words
 from listing_lake.llm.tables import FILE, ROW, located, written
 
 _PLACE = f"{FILE} long, {ROW} long"
-_ANCHOR = pa.schema([(FILE, pa.int64()), (ROW, pa.int64()), ("a", pa.int64()), ("n", pa.int32())])
+_ANCHOR = pa.schema([(FILE, pa.int64()), (ROW, pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32())])
 _EXTENDED = pa.schema(
     [
-        (FILE, pa.int64()), (ROW, pa.int64()), ("doc_id", pa.int64()), ("text", pa.large_string()), ("n_words", pa.int64()),
-        ("sha", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("at", pa.list_(pa.int32())),
+        (FILE, pa.int64()), (ROW, pa.int64()), ("n", pa.int32()), ("doc_id", pa.int64()), ("text", pa.large_string()),
+        ("n_words", pa.int64()), ("sha", pa.string()), ("at", pa.list_(pa.int32())), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int32())),
     ]
 )
 _DONE = pa.schema(
@@ -78,6 +78,9 @@ def _anchors(before: int | None, short: int, long: int):
             first, _, _ = _groups(doc[twice].astype(np.uint64), own[at][twice])
             yield _rows(batch, doc[twice][first], own[at][twice][first], 0)
             yield _rows(batch, np.zeros((~once).sum(), np.int64), value[~once], 2)
+            if before is None:
+                long_enough = np.flatnonzero(np.diff(w.first) >= long)
+                yield _rows(batch, long_enough, w.whole()[long_enough], 3, w.whole(second=True)[long_enough])
 
     return run
 
@@ -98,63 +101,90 @@ def _alive(batch: pa.RecordBatch, least: np.ndarray) -> np.ndarray:
     return np.isin(least, np.unique(hits).view(np.uint64)) & (least > 0)
 
 
-def _rows(batch: pa.RecordBatch, doc: np.ndarray, value: np.ndarray, n: int) -> pa.RecordBatch:
-    """``n``: 1 met once in this document, 2 met more often somewhere, 0 already known to repeat."""
+def _rows(batch: pa.RecordBatch, doc: np.ndarray, value: np.ndarray, n: int, second: np.ndarray | None = None) -> pa.RecordBatch:
+    """``n``: 1 met once in this document, 2 met more often somewhere, 0 already known to repeat, 3 the whole document."""
     take = pa.array(doc, pa.int64())
+    b = pa.nulls(len(doc), pa.int64()) if second is None else pa.array(second.view(np.int64))
     return pa.record_batch(
-        [batch.column(FILE).take(take), batch.column(ROW).take(take), pa.array(value.view(np.int64)), pa.array(np.full(len(doc), n, np.int32))],
+        [batch.column(FILE).take(take), batch.column(ROW).take(take), pa.array(value.view(np.int64)), b, pa.array(np.full(len(doc), n, np.int32))],
         schema=_ANCHOR,
     )
 
 
 def _extend(short: int, long: int, keep_text: bool):
-    """Next level: the long windows whose short ones repeat; documents without any are finished here."""
+    """Last level: the long windows whose short ones repeat; documents without any are finished here.
+
+    Of documents with the same words, in the column ``copy``, all windows repeat.  The first of them (2)
+    stands for the others (1), whose windows are not counted.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.chunks(batches, "text"):
             w = words.split(batch.column("text"))
             _, least = _smallest(w, short, long)
-            at, doc = np.flatnonzero(_alive(batch, least)), w.text_of()
-            key = np.stack([w.windows(long)[at], w.windows(long, second=True)[at]], axis=1)
-            first, inverse, n = _groups(key[:, 0], key[:, 1])
-            where = doc[at]
-            start = (at - w.first[where]).astype(np.int32)
-            every = np.arange(batch.num_rows)
-            yield _extended(batch, w, every, np.isin(every, where), keep_text)
-            once = n[inverse] == 1
-            yield _found(batch, where[once], key[once], 1, start[once], np.arange(once.sum() + 1))
-            many = np.flatnonzero(~once)
-            docs, cut = np.unique(where[many], return_index=True)
-            yield _found(batch, docs, np.zeros((len(docs), 2), np.uint64), 0, start[many], np.append(cut, len(many)))
-            again = n > 1
-            yield _found(batch, np.zeros(again.sum(), np.int64), key[first[again]], 2, np.empty(0, np.int32), np.zeros(again.sum() + 1, np.int32))
+            copy = batch.column("copy").fill_null(0).to_numpy(zero_copy_only=False)
+            doc, left = w.text_of(), w.left()
+            at = np.flatnonzero(_alive(batch, least) & (copy[doc] == 0) | (copy[doc] == 2) & (left >= long))
+            a, b = w.windows(long)[at], (w.windows(long, second=True)[at] >> np.uint64(32)).astype(np.uint32)
+            where, start = doc[at], at - w.first[doc[at]]
+            first, group, _ = _groups(a, b)
+            # the first of some copies counts for another one, too
+            total = np.bincount(group, 1 + (copy[where] == 2)).astype(np.int64)
+            open_ = np.zeros(batch.num_rows, bool)
+            open_[where] = True
+            yield _documents(batch, w, open_ | (copy > 0), keep_text)
+            once = total[group] == 1
+            yield _found(batch, where[once], 1, start[once], a[once], b[once])
+            known, begin = where[~once], start[~once]
+            rest = np.flatnonzero((copy[doc] == 1) & (left >= long))
+            known, begin = np.concatenate([known, doc[rest]]), np.concatenate([begin, rest - w.first[doc[rest]]])
+            order = np.lexsort((begin, known))
+            yield _settled(batch, known[order], begin[order])
+            again = first[total > 1]
+            for part in np.array_split(again, 1 + len(again) // 100_000):
+                yield _found(batch, np.zeros(len(part), np.int64), 2, np.zeros(len(part), np.int64), a[part], b[part])
 
     return run
 
 
-def _found(batch, doc, key, n, starts, cuts) -> pa.RecordBatch:
-    take, size = pa.array(doc, pa.int64()), len(doc)
-    raw = np.ascontiguousarray(key).view(np.int64).reshape(-1, 2)
-    empty = [pa.nulls(size, f.type) for f in list(_EXTENDED)[2:6]]
+def _lists(batch: pa.RecordBatch, docs: np.ndarray, n: int, cuts: np.ndarray, at: np.ndarray, *keys: np.ndarray) -> pa.RecordBatch:
+    take, offsets = pa.array(docs, pa.int64()), pa.array(cuts, pa.int32())
+    columns = [pa.ListArray.from_arrays(offsets, pa.array(x, t)) for x, t in zip([at, *keys], (pa.int32(), pa.int64(), pa.int32()))]
+    columns += [pa.nulls(len(docs), f.type) for f in list(_EXTENDED)[7 + len(columns) :]]
+    empty = [pa.nulls(len(docs), f.type) for f in list(_EXTENDED)[3:7]]
     return pa.record_batch(
-        [
-            batch.column(FILE).take(take), batch.column(ROW).take(take), *empty, pa.array(raw[:, 0].copy()), pa.array(raw[:, 1].copy()),
-            pa.array(np.full(size, n, np.int32)), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(starts, pa.int32())),
-        ],
-        schema=_EXTENDED,
+        [batch.column(FILE).take(take), batch.column(ROW).take(take), pa.array(np.full(len(docs), n, np.int32)), *empty, *columns], schema=_EXTENDED
     )
 
 
-def _extended(batch, w, docs, seen, keep_text) -> pa.RecordBatch:
+def _found(batch, doc, n, start, a, b) -> pa.RecordBatch:
+    """A row per document: the starts and fingerprints of its windows that are to be counted."""
+    docs, cut = np.unique(doc, return_index=True)
+    return _lists(batch, docs, n, np.append(cut, len(doc)), start.astype(np.int32), a.view(np.int64), b.view(np.int32))
+
+
+def _settled(batch, doc, start) -> pa.RecordBatch:
+    """A row per document: first and last start of each run of windows known to repeat."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
+    head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(doc))[: len(head)] - 1
+    docs, cut = np.unique(doc[head], return_index=True)
+    runs = np.stack([start[head], start[tail]], axis=1).ravel().astype(np.int32)
+    return _lists(batch, docs, 0, 2 * np.append(cut, len(head)), runs)
+
+
+def _documents(batch: pa.RecordBatch, w: words.Words, open_: np.ndarray, keep_text: bool) -> pa.RecordBatch:
     """A row per document; those that may lose words, and all whose text is wanted, carry it."""
-    sha = [None if seen[i] else hashlib.sha256(_kept(w, i, None)).hexdigest() for i in docs]
-    text = batch.column("text").cast(pa.large_string())
-    masked = text if keep_text else pa.compute.if_else(pa.array(seen), text, pa.nulls(len(docs), pa.large_string()))
-    size = len(docs)
+    sha = [None if o else hashlib.sha256(_kept(w, i, None)).hexdigest() for i, o in enumerate(open_)]
+    text, n = batch.column("text").cast(pa.large_string()), batch.num_rows
+    if not keep_text:
+        text = pa.compute.if_else(pa.array(open_), text, pa.nulls(n, pa.large_string()))
+    lists = [pa.nulls(n, f.type) for f in list(_EXTENDED)[7:]]
     return pa.record_batch(
         [
-            batch.column(FILE), batch.column(ROW), batch.column("doc_id"), masked, pa.array(np.diff(w.first), pa.int64()),
-            pa.array(sha, pa.string()), *(pa.nulls(size, f.type) for f in list(_EXTENDED)[6:]),
+            batch.column(FILE), batch.column(ROW), pa.nulls(n, pa.int32()), batch.column("doc_id"), text,
+            pa.array(np.diff(w.first), pa.int64()), pa.array(sha, pa.string()), *lists,
         ],
         schema=_EXTENDED,
     )
@@ -185,12 +215,12 @@ def _finish(length: int, keep_text: bool):
         for batch in words.chunks(batches, "text"):
             w = words.split(batch.column("text"))
             columns = {"n": [], "sha": [], "text": []}
-            for i, starts in enumerate(batch.column("starts")):
+            for i, (starts, runs) in enumerate(zip(batch.column("starts"), batch.column("runs"))):
                 edge = np.zeros(w.first[i + 1] - w.first[i] + 1, np.int64)
-                if starts.is_valid and len(starts.values):
-                    at = np.unique(starts.values.to_numpy(zero_copy_only=False))
-                    edge[at] += 1
-                    np.subtract.at(edge, at + length, 1)
+                single = starts.values.to_numpy() if starts.is_valid else np.empty(0, np.int32)
+                pairs = runs.values.to_numpy().reshape(-1, 2) if runs.is_valid else np.empty((0, 2), np.int32)
+                np.add.at(edge, np.concatenate([single, pairs[:, 0]]), 1)
+                np.subtract.at(edge, np.concatenate([single, pairs[:, 1]]) + length, 1)
                 covered = np.cumsum(edge)[:-1] > 0
                 kept = _kept(w, i, covered)
                 columns["n"].append(int(covered.sum()))
@@ -213,7 +243,15 @@ def _repeated(table: DataFrame, key: list[str]) -> DataFrame:
     A batch sends one row for a key, so the window over a key has at most one row for each batch.
     """
     total = F.sum("n").over(Window.partitionBy(*key))
-    return table.filter("n > 0").withColumn("total", total).filter("total > 1 AND n = 1")
+    return table.withColumn("total", total).filter("total > 1 AND n = 1")
+
+
+def _copies(anchors: DataFrame) -> DataFrame:
+    """Documents that have all their words in common with others: ``copy`` 2 for the first of them, 1 for the others."""
+    place = F.struct(FILE, ROW)
+    whole = anchors.filter("n = 3")
+    groups = whole.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("size")).filter("size > 1")
+    return whole.join(groups, ["a", "b"]).select(FILE, ROW, F.when(place == F.col("first"), 2).otherwise(1).alias("copy"))
 
 
 def remove_repeats(docs: DataFrame, length: int = 35, keep_text: bool = True) -> DataFrame:
@@ -221,38 +259,42 @@ def remove_repeats(docs: DataFrame, length: int = 35, keep_text: bool = True) ->
 
     Returns a row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and, if wanted,
     ``kept_text``: the remaining words joined by one space.  Windows are judged on the input.  Windows
-    are equal when two 64-bit fingerprints of their words are.  A null or empty text has no words, rows
+    are equal when 96 bits of fingerprint of their words are.  A null or empty text has no words, rows
     repeated with the same id count as two documents, an empty table gives an empty result, other
     columns are ignored.
     """
     levels = halves(length)
-    placed, place, hits = located(docs.select("doc_id", "text")), [FILE, ROW], None
+    placed, place, hits, copies = located(docs.select("doc_id", "text")), [FILE, ROW], None, None
     for before, short, long in zip([None, *levels], levels[:-1] or levels, levels[1:] or levels):
         source = placed.select(*place, "text")
         source = source if hits is None else source.join(hits, place)
-        anchors = written(source.mapInArrow(_anchors(before, short, long), f"{_PLACE}, a long, n int"), "anchors")
-        hits = anchors.filter("n = 0").select(*place, "a").unionByName(_repeated(anchors, ["a"]).select(*place, "a"))
+        anchors = written(source.mapInArrow(_anchors(before, short, long), f"{_PLACE}, a long, b long, n int"), "anchors")
+        copies = copies or _copies(anchors)
+        counted = anchors.filter("n IN (1, 2)").select(*place, "a", "n")
+        hits = anchors.filter("n = 0").select(*place, "a").unionByName(_repeated(counted, ["a"]).select(*place, "a"))
         hits = hits.groupBy(*place).agg(F.collect_set("a").alias("hits"))
+    hits = hits.select("*", F.lit(None).cast("int").alias("copy")).unionByName(copies.withColumn("hits", F.lit(None).cast("array<long>")))
+    hits = hits.groupBy(*place).agg(F.flatten(F.collect_list("hits")).alias("hits"), F.max("copy").alias("copy"))
     joined = placed.join(hits, place, "left")
     extended = written(
         joined.mapInArrow(
             _extend(short, length, keep_text),
-            f"{_PLACE}, doc_id long, text string, n_words long, sha string, a long, b long, n int, at array<int>",
+            f"{_PLACE}, n int, doc_id long, text string, n_words long, sha string, at array<int>, a array<long>, b array<int>",
         ),
         "extended",
     )
-    windows = extended.filter("n IS NOT NULL")
-    starts = windows.filter("n = 0").select(*place, "at").unionByName(_repeated(windows, ["a", "b"]).select(*place, "at"))
-    starts = starts.groupBy(*place).agg(F.flatten(F.collect_list("at")).alias("starts"))
+    windows = extended.filter("n IN (1, 2)").select(*place, "n", F.explode(F.arrays_zip("at", "a", "b")).alias("w")).select(*place, "n", "w.*")
+    runs = extended.filter("n = 0").select(*place, F.lit(None).cast("int").alias("at"), F.col("at").alias("run"))
+    starts = _repeated(windows, ["a", "b"]).select(*place, "at", F.lit(None).cast("array<int>").alias("run")).unionByName(runs)
+    starts = starts.groupBy(*place).agg(F.collect_list("at").alias("starts"), F.flatten(F.collect_list("run")).alias("runs"))
     rows = extended.filter("n IS NULL")
-    whole = rows if not keep_text else rows.limit(0)
-    open_ = rows.filter("sha IS NULL") if not keep_text else rows
-    done = open_.select(*place, "doc_id", "text").join(starts, place, "left").select("doc_id", "text", "starts").mapInArrow(
+    open_ = rows if keep_text else rows.filter("sha IS NULL")
+    done = open_.select(*place, "doc_id", "text").join(starts, place, "left").select("doc_id", "text", "starts", "runs").mapInArrow(
         _finish(length, keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
     if keep_text:
         return done
-    untouched = whole.filter("sha IS NOT NULL").select(
+    untouched = rows.filter("sha IS NOT NULL").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256")
     )
     return untouched.unionByName(done.drop("kept_text"))
