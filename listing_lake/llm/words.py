@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; one longer text is worked on alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _U64 = np.uint64
 #: Odd multipliers of the byte and word polynomials.
@@ -36,21 +35,25 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-@lru_cache(maxsize=8)
+#: Powers of each base and of its inverse, as far as they were needed.
+_KNOWN: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` and of its inverse, modulo 2**64."""
-    out = []
-    for b in (base, pow(base, -1, 1 << 64)):
-        x = np.full(size, b, _U64)
-        x[:1] = 1
-        out.append(np.multiply.accumulate(x))
-    return out[0], out[1]
+    """Powers of ``base`` and of its inverse, modulo 2**64, from 0 to below ``size`` at least."""
+    if base not in _KNOWN or len(_KNOWN[base][0]) < size:
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            x = np.full(1 << max(12, (size - 1).bit_length()), b, _U64)
+            x[:1] = 1
+            out.append(np.multiply.accumulate(x))
+        _KNOWN[base] = (out[0], out[1])
+    return _KNOWN[base]
 
 
 def _span_sums(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hash of ``values[start:end]`` for each span, independent of where it stands."""
-    size = 1 << max(12, int(len(values)).bit_length())
-    up, down = _powers(base, size)
+    up, down = _powers(base, len(values) + 1)
     total = np.zeros(len(values) + 1, _U64)
     np.cumsum(values * up[: len(values)], out=total[1:])
     return (total[ends] - total[starts]) * down[starts]
