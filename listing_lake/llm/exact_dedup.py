@@ -45,7 +45,7 @@ def classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256, bytes_
     ``bytes_per_batch`` is how much of the fingerprints one micro-batch takes.
     """
     spark = docs.sparkSession
-    placed = located(docs.select("doc_id", "text"))
+    placed = located(docs).select("doc_id", "text", FILE, ROW)
     prints = written(placed.select("doc_id", digest(body()).alias("digest"), FILE, ROW), "fingerprints")
     known = _stream(spark, prints, bytes_per_batch)
     mixed = written(_mixed(placed, known, digest), "mixed-digests")
@@ -118,5 +118,5 @@ def _separated(placed: DataFrame, whole: DataFrame, mixed: DataFrame, digest: Ca
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that :func:`classes` keeps, with all their columns."""
     placed = located(docs)
-    kept = classes(docs, **options).filter("kept").select(FILE, ROW)
+    kept = classes(placed, **options).filter("kept").select(FILE, ROW)
     return placed.join(kept, [FILE, ROW], "left_semi").select(*docs.columns)

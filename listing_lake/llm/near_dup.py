@@ -220,7 +220,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     has no words: it links with nothing and stays.  A null id ranks last; of rows repeated with one id
     the first by place stays.  An empty table gives an empty result; other columns are ignored.
     """
-    placed = located(docs.select("doc_id", "text"))
+    placed = located(docs).select("doc_id", "text", FILE, ROW)
     signed = written(
         placed.select(FILE, ROW, "doc_id", "text").mapInArrow(_sign, f"{FILE} long, {ROW} long, doc_id long, a long, b long, n long, bands array<long>"),
         "signatures",
@@ -262,5 +262,6 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that :func:`classes` keeps, with all their columns."""
-    kept = classes(docs, least).filter("kept").select(FILE, ROW)
-    return located(docs).join(kept, [FILE, ROW], "left_semi").select(*docs.columns)
+    placed = located(docs)
+    kept = classes(placed, least).filter("kept").select(FILE, ROW)
+    return placed.join(kept, [FILE, ROW], "left_semi").select(*docs.columns)

@@ -28,8 +28,11 @@ def located(df: DataFrame) -> DataFrame:
 
     Both stay the same when a scan is repeated or split otherwise, so they name a row even where ids
     are missing or repeated.  Scans (with projections and filters over them) are named directly; a
-    frame without file columns is written first.  Write frames made by joins before passing them.
+    frame without file columns is written first, and one already named stays as it is.  Write frames
+    made by joins before passing them.
     """
+    if FILE in df.columns:
+        return df
     try:
         return _with_places(df)
     except AnalysisException:
