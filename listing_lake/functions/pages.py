@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,13 +45,37 @@ CATEGORIES_TYPE = (
 
 # ---------------------------------------------------------------- visible text
 
+#: Named entities of HTML for ASCII and Latin-1, from the standard's own table.
+_NAMED = {name: chr(code) for name, code in name2codepoint.items() if code < 256} | {"apos": "'"}
+
+
+def decode_entities(text: Column) -> Column:
+    """Named and numeric entities below U+0100 as the characters they stand for; others stay as they are.
+
+    One pass over the pieces behind each ``&``, so ``&amp;lt;`` becomes ``&lt;``.
+    """
+    names = F.create_map(*[F.lit(x) for pair in sorted(_NAMED.items()) for x in pair])
+
+    def piece(p: Column) -> Column:
+        name = F.regexp_extract(p, r"^(#?[0-9A-Za-z]{1,8});", 1)
+        hexadecimal = F.conv(F.regexp_extract(name, r"^#[xX]([0-9A-Fa-f]{1,4})$", 1), 16, 10).try_cast("int")
+        code = F.coalesce(hexadecimal, F.regexp_extract(name, r"^#([0-9]{1,5})$", 1).try_cast("int"))
+        char = F.when(name.startswith("#"), F.when((code > 0) & (code < 256), F.char(code))).otherwise(names[name])
+        return F.coalesce(F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p))
+
+    pieces = F.split(text, "&")
+    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), piece)
+    return F.concat(pieces[0], F.array_join(rest, ""))
+
+
 def visible_text(html: Column) -> Column:
     """Text of the body: scripts, styles and comments removed, one line per piece of text."""
     body = F.when(html.rlike(r"(?i)<body"), F.regexp_extract(html, r"(?is)<body[^>]*>(.*)", 1)).otherwise(html)
     body = F.regexp_replace(body, r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>", "\n")
     text = F.regexp_replace(body, r"<[^>]*>", "\n")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    text = F.when(text.contains("&"), decode_entities(text)).otherwise(text)
+    # the patterns' \\s does not match a no-break space
+    text = F.translate(text, "\u00a0", " ")
     return F.trim(F.regexp_replace(text, r"\s*\n\s*", "\n"), F.lit(" \n\t"))
 
 
@@ -123,7 +148,7 @@ def _path(node, *keys):
 def _parts(document: str | None) -> tuple:
     try:
         state = json.loads(document) if document else None
-    except ValueError:
+    except (ValueError, RecursionError):  # malformed, or nested too deeply
         state = None
     categories = neighborhood = status = None
     for node in _walk(state):

@@ -1,15 +1,15 @@
 """Table maintenance as pure functions: target and source in, new target out.
 
 Plain Parquet tables have no MERGE, UPDATE or DELETE, so a verb returns the new content and
-``sources.snapshots`` writes it to a fresh folder.  Keys must be unique in the source (see
-``quality.require_unique``).
+``sources.snapshots`` writes it to a fresh folder.  A key that a merge source holds twice fails the job,
+as it would in a MERGE.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listing_lake.operators.increments import pending
@@ -21,6 +21,15 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _hit(keys: list[str]) -> Column:
+    """True for each source row; fails the job where the row's key occurs again.
+
+    The count uses the partitioning by key that the merge's join needs anyway.
+    """
+    again = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    return F.when(again, F.raise_error(F.concat_ws(" ", F.lit("several source rows for key"), *keys)).cast("boolean")).otherwise(True)
+
+
 def append_by_name(target: DataFrame | None, source: DataFrame) -> DataFrame:
     """Create or append: columns are matched by name, a column one side lacks is NULL there."""
     return source if target is None else target.unionByName(source, allowMissingColumns=True)
@@ -41,7 +50,7 @@ def merge_upsert(
     keys = _keys(keys)
     update = [c for c in source.columns if c not in keys] if update is None else list(update)
     new = source.select(
-        *keys, *[F.col(c).alias(f"__s_{c}") for c in source.columns if c not in keys], F.lit(True).alias(_HIT)
+        *keys, *[F.col(c).alias(f"__s_{c}") for c in source.columns if c not in keys], _hit(keys).alias(_HIT)
     )
     old = target.withColumn("__old", F.lit(True))
     joined = old.join(new, keys, "full_outer")
@@ -63,7 +72,7 @@ def merge_update(
 ) -> DataFrame:
     """Overwrite ``columns`` of matched rows only; source rows without a match are dropped."""
     keys = _keys(keys)
-    new = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in columns], F.lit(True).alias(_HIT))
+    new = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in columns], _hit(keys).alias(_HIT))
     joined = target.join(new, keys, "left")
     return joined.select(
         *[

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -39,11 +40,14 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session that names none (tests, a laptop) gets a fresh local folder, the same one for the
-    life of the application.
+    Only a session on one machine that names none (tests, a laptop) gets a fresh local folder, the same
+    one for the life of the application.  On a cluster each executor would write to its own disk, so a
+    session there must name a folder.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         application = spark.sparkContext.applicationId
         if application not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="listing-lake-")

@@ -136,3 +136,18 @@ def test_reprojection_keeps_the_shape(spark):
     first = edges.orderBy("ring", "x1").collect()
     assert len(first) == 6
     assert max(r["x2"] for r in first) == pytest.approx(1.0) and max(r["y2"] for r in first) == pytest.approx(1.0)
+
+
+def test_visible_text_decodes_entities_and_no_break_spaces(spark):
+    from listing_lake.functions.pages import visible_text
+    from listing_lake.functions.text import detail_captures
+
+    html = (
+        "<body><p>Superficie total\u00a045 m</p><p>Ba&ntilde;os&nbsp;2</p><p>Superficie &uacute;til&#160;30 m</p>"
+        "<p>&amp;lt; &#xE9; &#233; &hearts; &#9829; & &;</p></body>"
+    )
+    df = spark.createDataFrame([(html,)], "html string").select(visible_text(F.col("html")).alias("t"))
+    fields = detail_captures(F.col("t"))
+    row = df.select("t", *[fields[k].alias(k) for k in ("superficie_total_m2", "banos", "superficie_util_m2")]).first()
+    assert (row.superficie_total_m2, row.banos, row.superficie_util_m2) == ("45", "2", "30")
+    assert row.t.endswith("&lt; é é &hearts; &#9829; & &;")

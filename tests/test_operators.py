@@ -309,3 +309,13 @@ def test_imputation_marks_only_filled_rows(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "v double")
     got = scoring.impute_with_model(df, "v", F.lit(9.0), "f", "t", F.lit("2024-01-01").cast("timestamp")).collect()
     assert [(r["v"], r["f"], r["t"] is None) for r in got] == [(1.0, None, True), (9.0, True, False)]
+
+
+def test_a_merge_source_with_a_key_twice_fails(spark):
+    from listing_lake.operators.merge import merge_update, merge_upsert
+
+    target = spark.createDataFrame([(1, "a")], "k int, x string")
+    twice = spark.createDataFrame([(1, "b"), (1, "c")], "k int, x string")
+    for merged in (merge_upsert(target, twice, "k"), merge_update(target, twice, "k", ["x"])):
+        with pytest.raises(Exception, match="several source rows for key"):
+            merged.collect()
