@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from listing_lake.catalog.registry import query
 from listing_lake.catalog.views import Views
-from listing_lake.operators import merge
+from listing_lake.operators import merge, quality
 from listing_lake.plans import reference as R
 from listing_lake.session import fresh_path
 from listing_lake.sources import snapshots
-from listing_lake.sources.tables import read_level_map
+from listing_lake.sources.tables import read_csv, read_level_map
 
 RUN_AT = "2024-01-02 03:04:05"
 
@@ -156,3 +156,17 @@ def partitioned_roundtrip(v: Views):
 @query(SNAPSHOT_SQL, ["listings"])
 def compacted_roundtrip(v: Views):
     return snapshots.compact(_snapshot_input(v), fresh_path(v.spark, "compacted"), "id_aviso", 4)
+
+
+@query("SELECT c_custkey, c_name, c_nationkey FROM customer")
+def csv_roundtrip(v: Views):
+    rows, path = v("customer").select("c_custkey", "c_name", "c_nationkey"), fresh_path(v.spark, "csv")
+    rows.write.option("header", True).csv(path)
+    return read_csv(v.spark, path, rows.schema)
+
+
+@query("SELECT id_aviso, comuna, latitud FROM listings WHERE latitud IS NOT NULL", ["listings"])
+def guarded_rows(v: Views):
+    """Rows that pass all guards come through as they are; `tests` hold what the guards refuse."""
+    rows = v("listings").filter("latitud IS NOT NULL").select("id_aviso", "comuna", "latitud")
+    return quality.require_not_null(quality.require_rows(quality.require_unique(rows, ["id_aviso"], "listings"), "listings"), ["id_aviso", "latitud"])

@@ -12,11 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Largest lookup that is ever broadcast, in rows.
+#: Largest lookup that is ever broadcast, in rows and in bytes.
 BROADCAST_ROWS = 100_000
-#: A key is heavy when it holds more than 1 / HEAVY_PARTS of all rows.  Fewer than HEAVY_PARTS keys
-#: can do so, which bounds the heavy-key table whatever the data.
-HEAVY_PARTS = 1_000
+BROADCAST_BYTES = 64 << 20
+#: A key is heavy when it holds more than HEAVY_ROWS rows and more than 1 / HEAVY_PARTS of all rows.
+#: Fewer than HEAVY_PARTS keys can do so, which bounds the heavy-key table whatever the data; up to
+#: HEAVY_PARTS * HEAVY_ROWS rows (2 * 10^10) the first bound alone decides.
+HEAVY_PARTS = 100_000
 #: Keys below this many rows are never split.
 HEAVY_ROWS = 200_000
 #: Partitions over which rows with a missing key are spread.
@@ -26,11 +28,16 @@ _SALT = "__salt"
 _PARTS = "__parts"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; counts no further than the limit."""
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes; measures no further than the row limit.
+
+    The bytes are those of the rows written as JSON, nested columns included.
+    """
     if max_rows <= 0:
         return False
-    return df.select(F.lit(1).alias("one")).limit(max_rows + 1).count() <= max_rows
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])))
+    found = df.limit(max_rows + 1).select(size.alias("size")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).first()
+    return found["n"] <= max_rows and (found["size"] or 0) <= max_bytes
 
 
 def heavy_keys(
@@ -106,15 +113,15 @@ def skew_join(
 
 def lookup_join(
     left: DataFrame, lookup: DataFrame, keys: str | Sequence[str], how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``left`` with ``lookup`` on equally named ``keys``.
 
-    The lookup is broadcast when its checked row count is within ``max_rows``, which leaves the left
-    side where it is; otherwise :func:`skew_join` does the work.
+    The lookup is broadcast when its measured size is within ``max_rows`` and ``max_bytes``, which leaves
+    the left side where it is; otherwise :func:`skew_join` does the work.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if fits_broadcast(lookup, max_rows):
+    if fits_broadcast(lookup, max_rows, max_bytes):
         return left.join(F.broadcast(lookup), keys, how)
     return skew_join(left, lookup, keys, how)
 

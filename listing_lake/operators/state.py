@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listing_lake.functions.pages import ACTIVE, CAPTCHA, ERROR, NOT_FOUND, OK, UNAVAILABLE
-from listing_lake.operators.lookup import lookup_join
 
 #: The counter value above which a listing becomes unavailable.
 MAX_FAILURES = 5
@@ -37,7 +36,7 @@ def captcha_prefix(outcomes: DataFrame, run: str = "run", ts: str = "ts", seq: s
         .agg(F.min(F.struct(ts, seq)).alias("__stop"))
     )
     return (
-        lookup_join(outcomes, stop, run, "left")
+        outcomes.join(stop, run, "left")  # no size is counted ahead: adaptive execution sees the shuffled sizes
         .filter(F.col("__stop").isNull() | (F.struct(ts, seq) < F.col("__stop")))
         .drop("__stop")
     )

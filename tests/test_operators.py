@@ -73,6 +73,13 @@ def test_splitting_heavy_keys_changes_nothing(spark, how):
     assert rows(L.skew_join(left, right, ["k"], how, min_rows=100)) == rows(left.join(right, "k", how))
 
 
+def test_a_split_of_a_hot_key_keeps_to_the_row_budget(spark):
+    left = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    split, _ = L.split_heavy(left, left.select("k").distinct(), ["k"], min_rows=1000)
+    assert split.groupBy("k", "__salt").count().agg(F.max("count")).first()[0] < 1300
+    assert [r["__parts"] for r in L.heavy_keys(left, ["k"], min_rows=1000).collect()] == [20]
+
+
 def test_heavy_keys_are_few(spark):
     df = spark.range(20000).select((F.col("id") % 5000).alias("k"))
     assert L.heavy_keys(df, ["k"], min_rows=1, parts=10).count() == 0
@@ -84,6 +91,9 @@ def test_lookup_beyond_the_limit_is_not_broadcast(spark):
     small, large = L.lookup_join(left, right, "k"), L.lookup_join(left, right, "k", max_rows=10)
     assert rows(small) == rows(large)
     assert "BroadcastHashJoin [k" in plan(small)
+    wide = right.withColumn("v", F.array_repeat(F.lit(1), 1000))
+    assert not L.fits_broadcast(wide, max_bytes=10_000) and L.fits_broadcast(wide)
+    assert L.fits_broadcast(right.limit(0))
     assert rows(L.lookup_or_default(left, right, "k", "v", 9)) == [(i, 1 if i < 50 else 9) for i in sorted(range(100), key=lambda i: repr((i, 1 if i < 50 else 9)))]
 
 
