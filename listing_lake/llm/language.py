@@ -11,6 +11,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +99,13 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Model | None:
         return None
     languages = sorted({lang for lang, _ in sample})
     examples = []
+
+    @lru_cache(maxsize=200_000)
+    def parts(word: str) -> np.ndarray:
+        return np.array(subwords(word, s.subwords, s.buckets), np.int64)
+
     for lang, own in sample:
-        bucket, n = np.unique([b for w in own for b in subwords(w, s.subwords, s.buckets)], return_counts=True)
+        bucket, n = np.unique(np.concatenate([parts(w) for w in own]), return_counts=True)
         examples.append((bucket, (n / n.sum()).astype(np.float32), languages.index(lang)))
     rng = np.random.default_rng(s.seed)
     order = rng.permutation(len(examples))
