@@ -57,6 +57,35 @@ def test_two_increments_equal_one_pass_and_a_rerun_adds_nothing(spark, views):
         assert dict(spark.read.parquet(f"{root}/{name}").dtypes) == {f.name: f.dataType.simpleString() for f in schema}
 
 
+def test_calibration_of_a_version_is_fitted_once(spark):
+    root, fitted = fresh_path(spark, "calibration"), []
+    gold = spark.createDataFrame([("a", 1.0)], "id_aviso string, precio_clp double")
+
+    def fit(df):
+        fitted.append(df)
+        return read_calibration(spark.createDataFrame([(CALIBRATION,)], "document string"))
+
+    first = dataclasses.replace(catalog_lake.model(), version="2024/1", calibration=fit)
+    want = read_calibration(spark.createDataFrame([(CALIBRATION,)], "document string")).collect()
+    assert [lake.frozen_calibration(root, gold, first).collect() for _ in range(2)] == [want, want]
+    assert len(fitted) == 1
+    lake.frozen_calibration(root, gold, dataclasses.replace(first, version="2024"))
+    assert len(fitted) == 2
+    # a write that was cut short leaves a folder without rows
+    spark.createDataFrame([], read_calibration(spark.createDataFrame([(CALIBRATION,)], "document string")).schema).write.parquet(
+        f"{root}/calibraciones/3"
+    )
+    assert lake.frozen_calibration(root, gold, dataclasses.replace(first, version="3")).collect() == want
+
+
+def test_version_that_looks_like_a_number_stays_text(spark):
+    path = fresh_path(spark, "versions")
+    done = spark.createDataFrame([("a", "010"), ("b", "10")], "id_aviso string, version_modelo string")
+    done.write.partitionBy("version_modelo").parquet(path)
+    read = lake.layer(spark, path, "id_aviso string, version_modelo string")
+    assert sorted(map(tuple, read.collect())) == [("a", "010"), ("b", "10")]
+
+
 def test_first_run_and_table_switch(spark, views):
     assert existing_table(spark, "no_such_table") is None
     spark.range(3).write.saveAsTable("some_ids")
