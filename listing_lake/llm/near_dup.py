@@ -237,15 +237,19 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     )
     marks = bag.select("node", "n", F.explode("bands").alias("mark"))
     shared = marks.groupBy("mark").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("members")).filter("members > 1")
-    # min / max of two totals bounds the similarity
+    # min / max of two totals bounds the similarity, so it chooses the pairs that are compared with the first;
+    # the family keeps the others too, since two members of a band may be alike when its first is of another size
     near = F.least("n", "first.n") >= F.greatest("n", "first.n") * least - 1e-9
-    stars = marks.join(shared, "mark").filter(F.col("node") != F.col("first.node")).filter(near).select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct()
-    stars = written(stars, "stars")
-    wanted = stars.select(F.col("u").alias("node")).union(stars.select("v")).distinct()
+    edges = marks.join(shared, "mark").filter(F.col("node") != F.col("first.node")).select(
+        F.col("first.node").alias("u"), F.col("node").alias("v"), near.alias("near")
+    ).distinct()
+    edges = written(edges, "stars")
+    stars = edges.filter("near").select("u", "v")
+    wanted = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
     texts = written(placed.join(bag.join(wanted, "node").select("node", FILE, ROW), [FILE, ROW]).select("node", "text"), "candidates")
     links = _star_links(stars, texts, least)
     groups = components(links)
-    links = links.union(_family_links(stars, groups, texts, least))
+    links = links.union(_family_links(edges.select("u", "v"), groups, texts, least))
     groups = components(links)
 
     named = bag.join(groups, "node", "left").select("a", "b", "copies", "at", F.coalesce("component", "node").alias("component"))

@@ -217,6 +217,29 @@ def test_links_across_groups_of_a_family_are_found(spark, tile):
     assert got == want and want
 
 
+def test_near_copies_are_found_behind_excerpts_of_another_size(spark):
+    """Excerpts share the bands of two near copies, and stand first in them, but are too short to be alike to either."""
+    rng = random.Random(12)
+    rows, pairs = [], []
+    for k in range(6):
+        x = prose(rng, 400, 10**6)
+        y = list(x)
+        for at in range(25, 400, 50):
+            y[at] = f"edit{k}-{at}"
+        a, b = " ".join(x), " ".join(y)
+        assert 0.8 <= jaccard(bag(a), bag(b)) < 0.85
+        pairs.append((1000 * k, 1000 * k + 1))
+        rows += [(1000 * k, a), (1000 * k + 1, b)]
+        for j in range(40):
+            cut = rng.randrange(300)
+            short = " ".join(x[:cut] + x[cut + 100 :])
+            assert jaccard(bag(a), bag(short)) < 0.8
+            rows.append((1000 * k + 10 + j, short))
+    found = {r.doc_id: (r.class_id, r.group_size) for r in near_dup.classes(frame(spark, rows)).collect()}
+    for x, y in pairs:
+        assert found[x] == found[y] == (x, 2)
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     for _ in range(4):
