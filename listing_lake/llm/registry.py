@@ -31,10 +31,10 @@ EXACT_COPIES_SQL = """
 
 def histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
+    placed = sharding.shard(docs, ["doc_id", "text"], shards=8)
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
-    placed = sharding.shard(docs.select("doc_id", "text", crc), ["doc_id", "text_crc32"], shards=8)
     return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        "doc_id", "size", crc, F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

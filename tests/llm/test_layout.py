@@ -83,6 +83,21 @@ def test_sharding_main_path_has_no_python(spark):
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
 
 
+def test_sharding_query_puts_whole_texts_into_shards(spark, monkeypatch):
+    moved, shard = [], sharding.shard
+
+    def spy(*args, **options):
+        moved.append(shard(*args, **options))
+        return moved[-1]
+
+    monkeypatch.setattr(sharding, "shard", spy)
+    got = registry.QUERIES["op3_histogram_shards"](spark, FOLDER).collect()
+    assert [("text" in df.columns) for df in moved] == [True]
+    rows = load(spark, FOLDER, "documents").collect()
+    assert sorted((r.doc_id, zlib.crc32((r.text or "").encode())) for r in rows) == sorted((r.doc_id, r.text_crc32) for r in got)
+    assert Counter((r.text or "") for r in moved[0].collect()) == Counter((r.text or "") for r in rows)
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 
