@@ -49,7 +49,8 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return substrings.remove_repeats(load(spark, folder, "documents"), length=35, keep_text=False)
+    cleaned = substrings.remove_repeats(load(spark, folder, "documents"), length=35)
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 RULES = [

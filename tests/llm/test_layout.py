@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from listing_lake.llm import language, mixing, near_dup, packing, registry, sharding
+from listing_lake.llm import language, mixing, near_dup, packing, registry, sharding, substrings
 from listing_lake.llm.tables import load, written
 from listing_lake.llm.tokens import WordTokens
 
@@ -250,6 +250,20 @@ def test_pack_round_trip(spark):
     assert packing.pack(frame(spark, []), TOKENIZER).collect() == []
 
 
+def test_repeats_query_makes_the_cleaned_texts(spark, monkeypatch):
+    made, remove = [], substrings.remove_repeats
+
+    def spy(*args, **options):
+        made.append(remove(*args, **options))
+        return made[-1]
+
+    monkeypatch.setattr(substrings, "remove_repeats", spy)
+    got = registry.QUERIES["op5_repeated_windows"](spark, FOLDER)
+    assert got.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"] and "kept_text" in made[0].columns
+    want = made[0].select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+
+
 # --- queries and pipeline --------------------------------------------------------------------------
 
 
