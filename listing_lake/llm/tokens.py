@@ -9,7 +9,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte: itself where it prints, else the next one from U+0100 on."""
     printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printing]
@@ -28,7 +28,7 @@ class WordTokens:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}

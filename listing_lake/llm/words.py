@@ -112,13 +112,13 @@ def split(texts: pa.Array) -> Words:
     return Words(hashes, starts, ends, np.searchsorted(starts, bounds), data)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about :data:`CHUNK_BYTES` of text."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         if not len(sizes):
             continue
-        group = np.cumsum(sizes) // CHUNK_BYTES
+        group = np.cumsum(sizes) // size
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
         for a, b in zip(cuts, cuts[1:]):
             yield batch.slice(a, b - a)
