@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("cleaning", "increments", "maintenance", "spatial", "pages", "scoring", "state", "lake")
+_MODULES = ("cleaning", "increments", "maintenance", "spatial", "pages", "scoring", "state", "lake", "ingest")
 
 
 def _load():

@@ -155,7 +155,7 @@ def partitioned_roundtrip(v: Views):
 
 @query(SNAPSHOT_SQL, ["listings"])
 def compacted_roundtrip(v: Views):
-    return snapshots.compact(_snapshot_input(v), fresh_path(v.spark, "compacted"), "id_aviso", 4)
+    return snapshots.compact(_snapshot_input(v), fresh_path(v.spark, "compacted"), "id_aviso")
 
 
 @query("SELECT c_custkey, c_name, c_nationkey FROM customer")

@@ -116,6 +116,22 @@ def group_quantiles(v: Views):
     return q.select("l_returnflag", *[F.round(c, 4).alias(c) for c in points], "mediana_inferior")
 
 
+#: Seconds of one day and parts of them: all values share sign and exponent, and most differ.
+INSTANT_SQL = "CAST(1704067200 + (l_orderkey * 7919 + l_linenumber * 104729) % 86400 AS DOUBLE) + CAST(l_partkey % 1024 AS DOUBLE) / 1024"
+
+
+@query(
+    f"""SELECT l_linestatus, round(quantile_cont(x, 0.01), 4) AS p01, round(quantile_cont(x, 0.5), 4) AS p50, round(quantile_cont(x, 0.999), 4) AS p999,
+      quantile_disc(x, 0.5) AS mediana_inferior FROM (SELECT l_linestatus, {INSTANT_SQL} AS x FROM lineitem) t GROUP BY l_linestatus"""
+)
+def quantiles_narrow_band(v: Views):
+    rows = v("lineitem").select("l_linestatus", F.expr(INSTANT_SQL).alias("x"))
+    points = {"p01": 0.01, "p50": 0.5, "p999": 0.999}
+    return Q.quantiles(rows, ["l_linestatus"], "x", points, lower_middle="mediana_inferior", budget=1_000).select(
+        "l_linestatus", *[F.round(c, 4).alias(c) for c in points], "mediana_inferior"
+    )
+
+
 @query(
     f"""SELECT id_aviso, CAST(CASE WHEN piso_unidad IS NULL THEN 1.0 WHEN piso_unidad > 30 THEN m ELSE piso_unidad END AS DOUBLE) AS piso_unidad
     FROM amenities CROSS JOIN (SELECT round(avg(piso_unidad), 6) AS m FROM reference) s""",
@@ -167,6 +183,18 @@ def neighbors_300m(v: Views):
     return skew_join(listings, near, ["latitud", "longitud"], "inner").drop("latitud", "longitud")
 
 
+@query(
+    f"""SELECT p.id_aviso, count(*) AS vecinos FROM dense_probes p JOIN dense_points r
+      ON {GAP_SQL} <= 60 GROUP BY p.id_aviso""",
+    ["dense_probes", "dense_points"],
+)
+def dense_spot(v: Views):
+    """A spot that is crowded on both sides, every row with coordinates of its own."""
+    points = v("dense_points").withColumnsRenamed({"latitud": "ref_latitud", "longitud": "ref_longitud"})
+    near = distance_join(v("dense_probes"), points, 60.0)
+    return near.groupBy("id_aviso").agg(F.count(F.lit(1)).alias("vecinos"))
+
+
 @query(
     f"""WITH {VALUED_SQL}, near AS (SELECT p.id_aviso, quantile_disc(r.precio_m2, 0.5) AS m FROM listings p
       JOIN valued r ON r.precio_m2_valido AND p.latitud IS NOT NULL AND {GAP_SQL} <= 300 GROUP BY p.id_aviso),
@@ -312,7 +340,32 @@ def reproject_polygons(v: Views):
 @query(f"WITH {INSIDE_SQL} SELECT id_aviso, uv_rsh FROM resolved", ["listings", "polygons"], name="point_in_polygon")
 def polygon_of_listing(v: Views):
     edges = polygon_edges(kept_polygons(v), "uv_rsh", "geometria_wkt")
-    return point_in_polygon(v("listings"), edges, "id_aviso", "uv_rsh", cell=0.002)
+    return point_in_polygon(v("listings"), edges, "id_aviso", "uv_rsh")
+
+
+#: A saw across the listings' area with thousands of teeth, and a triangle as large as a continent, in micro-degrees.
+TEETH = 4000
+WIDE_SQL = f"""saw AS (SELECT i, CAST(-73110000 + i * 30 AS DOUBLE) / 1000000 AS x, CAST(-36800000 + CASE WHEN i % 2 = 0 THEN 0 ELSE (i * 7919) % 600 END AS DOUBLE) / 1000000 AS y
+    FROM range(0, {TEETH}) t(i)),
+  wide AS (SELECT 'sierra' AS uv_rsh, x AS x1, y AS y1, COALESCE(lead(x) OVER (ORDER BY i), CAST(-73.05 AS DOUBLE)) AS x2, COALESCE(lead(y) OVER (ORDER BY i), CAST(-36.9 AS DOUBLE)) AS y2 FROM saw
+    UNION ALL SELECT 'sierra', CAST(-73.05 AS DOUBLE), CAST(-36.9 AS DOUBLE), CAST(-73.11 AS DOUBLE), CAST(-36.8 AS DOUBLE)
+    UNION ALL SELECT 'tierra', * FROM (VALUES (CAST(-80 AS DOUBLE), CAST(-56 AS DOUBLE), CAST(-34.5 AS DOUBLE), CAST(-7.25 AS DOUBLE)),
+      (-34.5, -7.25, -80, 12.5), (-80, 12.5, -80, -56)) v(x1, y1, x2, y2)),
+  edges AS (SELECT uv_rsh, x1, y1, x2, y2 FROM small_edges UNION ALL SELECT * FROM wide)"""
+
+
+@query(
+    f"WITH {INSIDE_SQL.replace(EDGES_SQL, EDGES_SQL.replace('edges AS (', 'small_edges AS (') + ', ' + WIDE_SQL)} SELECT id_aviso, uv_rsh FROM resolved",
+    ["listings", "polygons"],
+)
+def polygon_of_listing_wide(v: Views):
+    """A polygon with thousands of edges and one as large as a continent among the small ones; the lowest key still counts."""
+    small = polygon_edges(kept_polygons(v), "uv_rsh", "geometria_wkt").select("uv_rsh", "x1", "y1", "x2", "y2")
+    saw = [((-73110000 + i * 30) / 1000000, (-36800000 + (0 if i % 2 == 0 else (i * 7919) % 600)) / 1000000) for i in range(TEETH)]
+    rings = {"sierra": [*saw, (-73.05, -36.9), saw[0]], "tierra": [(-80.0, -56.0), (-34.5, -7.25), (-80.0, 12.5), (-80.0, -56.0)]}
+    texts = [(k, "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + "))") for k, ring in rings.items()]
+    wide = polygon_edges(v.spark.createDataFrame(texts, "uv_rsh string, wkt string"), "uv_rsh", "wkt").drop("ring")
+    return point_in_polygon(v("listings"), small.unionByName(wide), "id_aviso", "uv_rsh")
 
 
 @query(

@@ -84,6 +84,19 @@ SELECT p_partkey AS ref_id,
 FROM {part}
 """
 
+# a spot of some hundred metres, crowded with distinct places on both sides
+VIEWS["dense_probes"] = """
+SELECT concat('MLC-', CAST(o_orderkey AS STRING)) AS id_aviso,
+  CAST(-36.82 AS DOUBLE) + CAST(o_orderkey * 7919 % 1000003 AS DOUBLE) / 500000000 AS latitud,
+  CAST(-73.05 AS DOUBLE) + CAST(o_orderkey * 104729 % 1000033 AS DOUBLE) / 500000000 AS longitud
+FROM {orders}
+"""
+VIEWS["dense_points"] = """
+SELECT CAST(-36.82 AS DOUBLE) + CAST(p_partkey * 15485863 % 1000003 AS DOUBLE) / 500000000 AS latitud,
+  CAST(-73.05 AS DOUBLE) + CAST(p_partkey * 32452843 % 1000033 AS DOUBLE) / 500000000 AS longitud
+FROM {part}
+"""
+
 VIEWS["levels"] = """
 SELECT concat('barrio-', CAST(n_nationkey AS STRING)) AS barrio, n_nationkey % 5 + 1 AS nivel_barrio FROM {nation}
 """
@@ -184,20 +197,6 @@ FROM {corners}
 """
 
 
-#: Tables whose rows the queries work on; the others are looked up.
-FACTS = {"orders", "pages"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core rows to work on when the files have fewer splits than there are cores.
-
-    A single small file is one split, so all per-row work would run in one task.  A table with enough
-    splits, as any large one has, is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _needs(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", VIEWS[name])))
 
@@ -211,8 +210,7 @@ class Views:
 
     def __call__(self, name: str) -> DataFrame:
         if name not in VIEWS:
-            df = load(self.spark, self.folder, name)
-            return spread(df) if name in FACTS else df
+            return load(self.spark, self.folder, name)
         return self.sql(VIEWS[name], *_needs(name))
 
     def sql(self, text: str, *names: str) -> DataFrame:

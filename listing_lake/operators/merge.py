@@ -2,12 +2,13 @@
 
 Plain Parquet tables have no MERGE, UPDATE or DELETE, so a verb returns the new content and
 ``sources.snapshots`` writes it to a fresh folder.  A key that a merge source holds twice fails the job,
-as it would in a MERGE.
+as it would in a MERGE, and so does a source row whose key is missing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,12 +23,24 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 
 
 def _hit(keys: list[str]) -> Column:
-    """True for each source row; fails the job where the row's key occurs again.
+    """True for each source row; fails the job where the row's key is missing or occurs again.
 
     The count uses the partitioning by key that the merge's join needs anyway.
     """
     again = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
-    return F.when(again, F.raise_error(F.concat_ws(" ", F.lit("several source rows for key"), *keys)).cast("boolean")).otherwise(True)
+    return (
+        F.when(_missing(keys), _refusal(keys, "source row without a key:"))
+        .when(again, _refusal(keys, "several source rows for key"))
+        .otherwise(True)
+    )
+
+
+def _missing(keys: list[str]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+
+
+def _refusal(keys: list[str], what: str) -> Column:
+    return F.raise_error(F.concat_ws(" ", F.lit(what), *keys)).cast("boolean")
 
 
 def append_by_name(target: DataFrame | None, source: DataFrame) -> DataFrame:
@@ -36,8 +49,13 @@ def append_by_name(target: DataFrame | None, source: DataFrame) -> DataFrame:
 
 
 def merge_insert_only(target: DataFrame | None, source: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Insert the source rows with a new key; existing rows stay as they are."""
-    return append_by_name(target, pending(source, target, keys))
+    """Insert the source rows with a new key; existing rows stay as they are.
+
+    A source row without a key fails the job: it would match nothing and be inserted in every run.
+    """
+    keys = _keys(keys)
+    named = source.filter(F.when(_missing(keys), _refusal(keys, "source row without a key:")).otherwise(True))
+    return append_by_name(target, pending(named, target, keys))
 
 
 def merge_upsert(

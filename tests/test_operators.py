@@ -1,6 +1,7 @@
 import math
 import random
 import statistics
+import struct
 
 import pytest
 from conftest import plan, rows
@@ -125,10 +126,21 @@ def test_crowded_cells_are_split_without_losing_pairs(spark):
     pts = [(-36.8 + rnd.uniform(0, 0.002), -73.0 + rnd.uniform(0, 0.002)) for _ in range(400)]
     left = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "i int, a double, b double")
     right = spark.createDataFrame([(j, *p) for j, p in enumerate(pts[:100])], "j int, c double, d double")
-    split = spatial.grid_candidates(left, right, 300.0, ("a", "b"), ("c", "d"), cell_rows=20)
     whole = spatial.grid_candidates(left, right, 300.0, ("a", "b"), ("c", "d"))
-    assert split.select("__part").distinct().count() > 1
-    assert rows(split.select("i", "j")) == rows(whole.select("i", "j"))
+    for together in (False, True):
+        split = spatial.grid_candidates(left, right, 300.0, ("a", "b"), ("c", "d"), cell_pairs=500, whole=together)
+        assert rows(split.select("i", "j")) == rows(whole.select("i", "j"))
+        # 400 x 100 rows in a few cells: parts hash to about 500 pairs each
+        largest = split.groupBy("__cy", "__cx", "__part").count().agg(F.max("count")).first()[0]
+        assert split.select("__part").distinct().count() > 20 and largest <= 2_500
+
+
+def test_right_sides_are_split_only_where_candidates_may_be_parted(spark):
+    left = spark.createDataFrame([(0, -36.8, -73.0)], "i int, a double, b double")
+    right = spark.range(3_000).select(F.col("id").alias("j"), (-36.8 + F.col("id") * 1e-9).alias("c"), F.lit(-73.0).alias("d"))
+    apart = spatial.grid_candidates(left, right, 300.0, ("a", "b"), ("c", "d"), cell_pairs=500)
+    assert apart.count() == 3_000 and apart.select("__part").distinct().count() == 6
+    assert spatial.grid_candidates(left, right, 300.0, ("a", "b"), ("c", "d"), cell_pairs=500, whole=True).select("__part").distinct().count() == 1
 
 
 def test_neighbour_median_counts_copies(spark):
@@ -146,10 +158,7 @@ def test_grid_join_plan_has_no_nested_loop_over_the_data(spark):
     pts = spark.createDataFrame([(1.0, 1.0)], "latitud double, longitud double")
     ref = spark.createDataFrame([(1.0, 1.0, 2.0)], "latitud double, longitud double, v double")
     text = plan(spatial.neighbour_median(pts, ref, "v", 300.0, "m"))
-    assert "CartesianProduct" not in text
-    # nested loops only meet the one-row limit of the heavy-key count
-    loops = [line for line in text.splitlines() if "BroadcastNestedLoopJoin" in line]
-    assert loops and all("__limit" in line for line in loops)
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     # nothing is shuffled between the join and the selection
     head = text[: text.index("SortMergeJoin")]
     assert "Exchange" not in head
@@ -164,8 +173,8 @@ SQUARES = [
 ]
 
 
-@pytest.mark.parametrize("cell, max_rows", [(0.01, 100_000), (0.3, 100_000), (5.0, 100_000), (0.1, 0)])
-def test_point_in_polygon(spark, cell, max_rows):
+@pytest.mark.parametrize("cell_edges, max_rows", [(16, 100_000), (4, 100_000), (1, 100_000), (2, 0)])
+def test_point_in_polygon(spark, cell_edges, max_rows):
     polygons = spark.createDataFrame(SQUARES, "k string, w string")
     points = {
         "inside": (-73.9, -36.5, "b"), "hole": (-73.72, -36.72, None), "in_hole_other": (-73.5, -36.5, "c"),
@@ -174,10 +183,88 @@ def test_point_in_polygon(spark, cell, max_rows):
     }
     df = spark.createDataFrame([(n, y, x) for n, (x, y, _) in points.items()] + [("none", None, None)], "id string, latitud double, longitud double")
     edges = spatial.polygon_edges(polygons, "k", "w")
-    got = dict(rows(spatial.point_in_polygon(df, edges, "id", "k", cell=cell, max_rows=max_rows)))
+    got = dict(rows(spatial.point_in_polygon(df, edges, "id", "k", cell_edges=cell_edges, max_rows=max_rows)))
     assert got == {n: k for n, (_, _, k) in points.items() if k}
 
 
+def inside(edges, x, y):
+    odd = False
+    for x1, y1, x2, y2 in edges:
+        if min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2) and (y1 == y2 or (x2 - x1) * (y - y1) == (x - x1) * (y2 - y1)):
+            return False
+        if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+            odd = not odd
+    return odd
+
+
+@pytest.mark.parametrize("cell_edges", [1, 3, 16])
+def test_polygon_index_agrees_with_all_edges(spark, cell_edges):
+    rng = random.Random(cell_edges)
+    polygons = {}
+    for k in range(12):
+        lattice, n = k % 2 == 0, rng.choice([3, 8, 60])
+        cx, cy, size = rng.uniform(-2, 2), rng.uniform(-2, 2), rng.choice([0.01, 1, 30])
+        ring = []
+        for i in range(n):
+            r, t = size * rng.uniform(0.2, 1), 2 * math.pi * i / n
+            x, y = cx + r * math.cos(t), cy + r * math.sin(t)
+            ring.append((round(x * 8) / 8, round(y * 8) / 8) if lattice else (x, y))
+        polygons[f"p{k:02d}"] = [(*a, *b) for a, b in zip(ring, ring[1:] + ring[:1])]
+    points = [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(300)] + [(i / 8, j / 8) for i in range(-16, 17, 2) for j in range(-16, 17, 2)]
+    points += [(e[0], e[1]) for es in polygons.values() for e in es[:5]] + [(e[0], rng.uniform(-3, 3)) for es in polygons.values() for e in es[:5]]
+    edges = spark.createDataFrame([(k, *e) for k, es in polygons.items() for e in es], "k string, x1 double, y1 double, x2 double, y2 double")
+    df = spark.createDataFrame([(i, y, x) for i, (x, y) in enumerate(points)], "id int, latitud double, longitud double")
+    want = {}
+    for i, (x, y) in enumerate(points):
+        for k in sorted(polygons):
+            if inside(polygons[k], x, y):
+                want[i] = k
+                break
+    assert dict(rows(spatial.point_in_polygon(df, edges, "id", "k", cell_edges=cell_edges))) == want
+
+
+def test_polygon_index_grows_with_edges_not_with_extent(spark):
+    coast = [(math.cos(2 * math.pi * i / 2000) * 40, math.sin(2 * math.pi * i / 2000) * 40) for i in range(2000)]
+    rings = {"continent": [(-80, -56), (-34, -7), (-80, 12)], "island": [(0, 0), (0.001, 0), (0, 0.001)], "coast": coast}
+    edges = [(k, float(a[0]), float(a[1]), float(b[0]), float(b[1])) for k, r in rings.items() for a, b in zip(r, r[1:] + r[:1])]
+    index = spatial.polygon_index(spark.createDataFrame(edges, "k string, x1 double, y1 double, x2 double, y2 double"), "k")
+    sizes = {r["k"]: (r["cells"], r["edges"]) for r in index.groupBy("k").agg(F.count(F.lit(1)).alias("cells"), F.sum(F.size("__edges")).alias("edges")).collect()}
+    assert sizes["continent"][0] <= 4 and sizes["island"][0] <= 4
+    assert sizes["coast"][0] <= 2000 and sizes["coast"][1] <= 3 * 2000
+    empty = spark.createDataFrame([], "k string, x1 double, y1 double, x2 double, y2 double")
+    points = spark.createDataFrame([(1, 1.0, 1.0)], "id int, latitud double, longitud double")
+    assert spatial.point_in_polygon(points, empty, "id", "k").collect() == []
+
+
+# ---------------------------------------------------------------- ranks
+
+def test_order_keys_are_the_bits_of_the_numbers(spark):
+    rng = random.Random(2)
+    values = [0.0, 5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 1.0000000000000002, 0.9999999999999999, 1.7976931348623157e308, float("inf"), 8.0, 7.999999999999999, 3e-310]
+    values += [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(62)))[0] for _ in range(2000)]
+    values += [2.0**e for e in range(-1074, 1024, 7)] + [math.nextafter(2.0**e, 0) for e in range(-1073, 1024, 7)]
+    values = [v for v in values + [-v for v in values if v] if v == v]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", Q.order_key(F.col("v")).alias("k"))
+    for r in df.collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert r["k"] == (-bits if r["v"] < 0 else bits), r["v"]
+
+
+@pytest.mark.parametrize("budget", [10, 300, 65_536])
+def test_radix_selection_against_sorting(spark, budget):
+    rng = random.Random(budget)
+    data = [("narrow", 1.7e9 + rng.random()) for _ in range(900)] + [("wide", rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300)) for _ in range(700)]
+    data += [("few", float(rng.randrange(5))) for _ in range(500)] + [(None, rng.gauss(0, 1)) for _ in range(400)] + [("one", 7.0), ("none", None), ("none", float("nan"))]
+    data += [("edge", x) for x in (float("inf"), float("-inf"), 0.0, -0.0, 5e-324)]
+    got = Q.rank_select(spark.createDataFrame(data, "g string, v double"), ["g"], "v", {"low": lambda n: F.lit(1), "mid": lambda n: F.ceil(n / 2), "top": lambda n: n}, budget=budget)
+    by = {}
+    for g, v in data:
+        if v is not None and v == v:
+            by.setdefault(g, []).append(v)
+    want = {g: (len(v), sorted(v)[0], sorted(v)[-(-len(v) // 2) - 1], sorted(v)[-1]) for g, v in by.items()}
+    assert {r["g"]: tuple(r)[1:] for r in got.collect()} == want
+
+
 # ---------------------------------------------------------------- merges and increments
 
 def frame(spark, data):
