@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from listing_lake.llm import words
 from listing_lake.llm.components import components
-from listing_lake.llm.tables import FILE, ROW, located, written
+from listing_lake.llm.tables import FILE, ROW, located, packed, unpacked, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 32 bands of 4: two documents of similarity 0.8 share none with probability 5e-8.
@@ -220,7 +220,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     has no words: it links with nothing and stays.  A null id ranks last; of rows repeated with one id
     the first by place stays.  An empty table gives an empty result; other columns are ignored.
     """
-    placed = located(docs).select("doc_id", "text", FILE, ROW)
+    return _classes(located(docs.select("doc_id", "text")), least)
+
+
+def _classes(placed: DataFrame, least: float) -> DataFrame:
     signed = written(
         placed.select(FILE, ROW, "doc_id", "text").mapInArrow(_sign, f"{FILE} long, {ROW} long, doc_id long, a long, b long, n long, bands array<long>"),
         "signatures",
@@ -265,7 +268,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that :func:`classes` keeps, with all their columns."""
-    placed = located(docs)
-    kept = classes(placed, least).filter("kept").select(FILE, ROW)
-    return placed.join(kept, [FILE, ROW], "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that :func:`classes` keeps, with all their columns, whatever their names."""
+    placed = packed(docs, "doc_id", "text")
+    kept = _classes(placed.select("doc_id", "text", FILE, ROW), least).filter("kept").select(FILE, ROW)
+    return unpacked(placed.join(kept, [FILE, ROW], "left_semi"))

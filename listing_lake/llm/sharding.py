@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from listing_lake.llm.tables import FILE, ROW, located, written
+from listing_lake.llm.tables import FILE, ROW, WHOLE, packed, written
 
 #: The parts of the key, most significant first; each is a signed 64-bit number.
 _KEY = ("_llm_hash", "_llm_id", FILE, ROW)
@@ -136,25 +136,28 @@ def shard(docs: DataFrame, columns: list[str] | None = None, shards: int = 8, to
     """
     kept = [c for c in columns or docs.columns if c.lower() not in ("size", "shard", "slot")]
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
-    keyed = written(
-        located(docs).select(
-            size.alias("_llm_size"), F.xxhash64("text").alias("_llm_hash"), F.coalesce("doc_id", F.lit(_LOWEST)).alias("_llm_id"), FILE, ROW, *kept
-        ),
-        "shard-keys",
-    )
+    placed = packed(docs, "doc_id", "text")
+    keys = [F.xxhash64("text").alias("_llm_hash"), F.coalesce("doc_id", F.lit(_LOWEST)).alias("_llm_id"), FILE, ROW]
+    # narrow: the texts are read once more for the one exchange
+    keyed = written(placed.select(size.alias("_llm_size"), *keys), "shard-keys")
     borders = splitters(keyed, shards, tolerance)
     number = sum((_not_before(k).cast("int") for k in borders), F.lit(0))
-    numbered = keyed.withColumn("_llm_shard", number)
+    whole = F.struct(*[F.col(WHOLE)[c].alias(c) for c in kept]).alias(WHOLE)
+    numbered = placed.select(size.alias("_llm_size"), *keys, whole).withColumn("_llm_shard", number)
     # the one exchange; a position counts rows within a task, the upper bits of the number are the task
     ordered = written(
         numbered.repartitionByRange("_llm_shard", *_KEY).sortWithinPartitions("_llm_shard", *_KEY)
-        .withColumn("_llm_at", F.monotonically_increasing_id()),
+        .select("_llm_shard", "_llm_size", WHOLE, F.monotonically_increasing_id().alias("_llm_at")),
         "sharded",
     )
     task, at = F.shiftright("_llm_at", 33).alias("_llm_task"), F.col("_llm_at").bitwiseAND(F.lit((1 << 33) - 1))
     runs = ordered.groupBy("_llm_shard", task).agg(F.count("*").alias("_llm_rows"), F.min(at).alias("_llm_first"))
     before = Window.partitionBy("_llm_shard").orderBy("_llm_task").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select("_llm_shard", "_llm_task", (F.coalesce(F.sum("_llm_rows").over(before), F.lit(0)) - F.col("_llm_first")).alias("_llm_offset"))
-    # runs has a row for each task, and one more for each border that falls into a task
-    placed = ordered.withColumn("_llm_task", task).join(F.broadcast(runs), ["_llm_shard", "_llm_task"])
-    return placed.select(*kept, F.col("_llm_size").alias("size"), F.col("_llm_shard").alias("shard"), (at + F.col("_llm_offset")).alias("slot"))
+    # a row for each task, and one more for each border that falls into a task; written, so that its size
+    # decides whether it is sent to all
+    runs = written(
+        runs.select("_llm_shard", "_llm_task", (F.coalesce(F.sum("_llm_rows").over(before), F.lit(0)) - F.col("_llm_first")).alias("_llm_offset")),
+        "shard-runs",
+    )
+    placed = ordered.withColumn("_llm_task", task).join(runs, ["_llm_shard", "_llm_task"])
+    return placed.select(f"{WHOLE}.*", F.col("_llm_size").alias("size"), F.col("_llm_shard").alias("shard"), (at + F.col("_llm_offset")).alias("slot"))
