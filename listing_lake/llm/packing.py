@@ -43,17 +43,24 @@ def _tokenise(tokenizer: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, task = word_tokens(tokenizer), TaskContext.get().partitionId()
         turns = np.zeros(window + 1, np.int64)
-        end = np.array([END_ID], "<u4").tobytes()
-        for batch in words.chunks(batches, "text"):
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = ids_of(text or "") + end
-                n = len(ids) // 4
-                for start in range(0, n, window):
-                    length = min(window, n - start)
-                    rows.append((doc, start, length, n, ids[4 * start : 4 * (start + length)], task, int(turns[length])))
-                    turns[length] += 1
-            yield pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*rows), _PIECE)], schema=_PIECE)
+        for batch in words.chunks(batches, "text", 2 * words.CHUNK_BYTES):
+            ids, bounds = ids_of(batch.column("text"))
+            # the end id behind each document
+            ids = np.insert(ids, bounds[1:], np.uint32(END_ID))
+            size = np.diff(bounds) + 1
+            count = -(-size // window)
+            doc = np.repeat(np.arange(len(size)), count)
+            start = window * (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count))
+            length = np.minimum(window, size[doc] - start)
+            # pieces cover all ids in order
+            edge = pa.py_buffer(np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int32))
+            own = pa.BinaryArray.from_buffers(pa.binary(), len(doc), [None, edge, pa.py_buffer(ids.astype("<u4"))])
+            order = np.argsort(length, kind="stable")
+            turn = np.empty(len(doc), np.int64)
+            turn[order] = turns[length[order]] + np.arange(len(doc)) - np.searchsorted(length[order], length[order])
+            turns += np.bincount(length, minlength=window + 1)
+            columns = [batch.column("doc_id").take(pa.array(doc)), start, length, size[doc], own, np.full(len(doc), task), turn]
+            yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _PIECE)], schema=_PIECE)
 
     return run
 

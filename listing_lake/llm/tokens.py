@@ -6,6 +6,8 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 
@@ -17,14 +19,14 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordTokens:
-    """Ids of a text as little-endian 32-bit numbers.
+    """Ids of texts as little-endian 32-bit numbers.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its words one
     after another.  A word of letters with at most one mark behind it is looked up without its mark and in
     lower case.  Two generations of words are remembered: those met since the last change, and before.
     """
 
-    remembered = 250_000
+    remembered = 100_000
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -33,16 +35,26 @@ class WordTokens:
         self.old: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        for space in "\t\n\v\f\r":
-            text = text.replace(space, " ")
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where those of each begin and at last end; a null is empty.
+
+        Only distinct words are looked up; the ids of each occurrence are copied from theirs.
+        """
+        parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), pa.scalar("", pa.large_string())))
+        coded = pc.list_flatten(parts).dictionary_encode()
         if len(self.young) > self.remembered:
             self.old, self.young = self.young, {"": b""}
-        get, out = self.young.get, []
-        for word in text.split(" "):
+        get, own = self.young.get, []
+        for word in coded.dictionary.to_pylist():
             ids = get(word)
-            out.append(self._word(word) if ids is None else ids)
-        return b"".join(out)
+            own.append(self._word(word) if ids is None else ids)
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        start = np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        count = size[word]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        ids = np.frombuffer(b"".join(own), "<u4")[np.repeat(start[word] - ends[:-1], count) + np.arange(ends[-1])]
+        return ids, ends[np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])]
 
     def _word(self, word: str) -> bytes:
         ids = self.old.get(word)
