@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listing_lake.llm.tables import written
+from listing_lake.llm.tables import FILE, ROW, WHOLE, packed, written
 
 #: Words as the mix counts them.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -92,42 +92,51 @@ def _random(recipe: Recipe, *parts) -> Column:
     return F.xxhash64(*parts, F.lit(recipe.seed))
 
 
-def copies(docs: DataFrame, recipe: Recipe = Recipe(), columns: list[str] | None = None) -> DataFrame:
-    """``columns`` of ``docs`` (all unless given) with ``_llm_size`` (words), ``_llm_source_size``, ``_llm_target``, ``_llm_shards``.
+def copies(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
+    """Each row of ``docs`` as ``_llm_whole``, with its place and a hash of it, ``_llm_size`` (words), ``_llm_source_size``, ``_llm_target``, ``_llm_shards``.
 
     ``_llm_shards`` lists the output shards that take the document, once for each copy: whole passes over
     its source, and one more where its block was drawn.  A null text has no words, a null source is a
-    source of its own, sources without words have target 0.  Rows repeated with the same id share a
-    block; rows with a null id are spread by their text.  An empty table gives an empty result.
+    source of its own, sources without words have target 0.  Rows repeated with the same id and text
+    share a block, unless they are more than a block holds.  An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    who = ("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
-    sized = docs.select(
-        *(columns or docs.columns), F.col("source").alias("_llm_source"), n_words().alias("_llm_size"),
-        (F.pmod(_random(recipe, *who), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("_llm_at"),
+    named = packed(docs, "doc_id", "text", "source").select(
+        WHOLE, FILE, ROW, F.col("source").alias("_llm_source"), n_words().alias("_llm_size"), F.xxhash64("doc_id", "text").alias("_llm_key")
+    )
+    # one row repeated more often than a block has rows must not fill a block of its own
+    often = named.groupBy("_llm_key").count().filter(F.col("count") > recipe.block_docs)
+    often = written(often.select("_llm_key", F.lit(True).alias("_llm_often")), "repeated-rows")
+    who = ("_llm_key", F.when(F.col("_llm_often"), F.col(ROW)))
+    sized = named.join(often, "_llm_key", "left").select(
+        *named.columns, (F.pmod(_random(recipe, *who), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("_llm_at"),
         _random(recipe, *who, F.lit("fill")).alias("_llm_turn"),
     )
-    if columns:
-        sized = written(sized, "sized")
-    found = _sources(sized, recipe)
-    schema = "of string, _llm_src int, _llm_source_size long, _llm_target double, _llm_blocks int, _llm_passes int, _llm_rest double"
+    # narrow: blocks are drawn without the rows
+    narrow = written(sized.drop(WHOLE), "sized")
+    found = _sources(narrow, recipe)
+    schema = "_llm_of string, _llm_src int, _llm_source_size long, _llm_target double, _llm_blocks int, _llm_passes int, _llm_rest double"
     rows = []
     for i, s in enumerate(found):
         passes = int(s["target"] // s["size"]) if s["size"] else 0
         blocks = min(recipe.most_blocks, -(-s["docs"] // recipe.block_docs))
         rows.append((s["source"], i, s["size"], s["target"], blocks, passes, s["target"] - passes * s["size"]))
-    # a narrow row per source, at most most_sources
-    sources = F.broadcast(spark.createDataFrame(rows, schema))
-    blocked = (
-        sized.join(sources, F.col("_llm_source").eqNullSafe(F.col("of"))).drop(sources["of"])
-        .withColumn("_llm_block", F.floor(F.col("_llm_at") * F.col("_llm_blocks")).cast("int"))
-    )
-    placed = blocked.join(_drawn_blocks(blocked, recipe), ["_llm_src", "_llm_block"])
-    opened = placed.filter("_llm_open IS NOT NULL")
-    filled = opened.groupBy("_llm_src").applyInArrow(_fill, opened.schema)
-    return placed.filter("_llm_open IS NULL").unionByName(filled).select(
-        *(columns or docs.columns), "_llm_size", "_llm_source_size", "_llm_target", "_llm_shards"
+    # a row per source; its size decides whether it is sent to all
+    sources = written(spark.createDataFrame(rows, schema), "sources")
+
+    def blocked(rows: DataFrame) -> DataFrame:
+        own = rows.join(sources, F.col("_llm_source").eqNullSafe(F.col("_llm_of"))).drop("_llm_of", "_llm_source")
+        return own.withColumn("_llm_block", F.floor(F.col("_llm_at") * F.col("_llm_blocks")).cast("int"))
+
+    drawn = written(_drawn_blocks(blocked(narrow), recipe), "drawn-blocks")
+    opened = blocked(narrow).join(drawn.filter("_llm_open IS NOT NULL"), ["_llm_src", "_llm_block"])
+    short = opened.select("_llm_src", FILE, ROW, "_llm_size", "_llm_turn", "_llm_open").groupBy("_llm_src").applyInArrow(
+        _left_out, f"{FILE} long, {ROW} long"
     )
+    placed = blocked(sized).join(drawn.drop("_llm_open"), ["_llm_src", "_llm_block"])
+    placed = placed.join(short.withColumn("_llm_less", F.lit(1)), [FILE, ROW], "left")
+    shards = F.when(F.col("_llm_less").isNotNull(), F.slice("_llm_shards", 1, F.size("_llm_shards") - 1)).otherwise(F.col("_llm_shards"))
+    return placed.select(WHOLE, FILE, ROW, "_llm_key", "_llm_size", "_llm_source_size", "_llm_target", shards.alias("_llm_shards"))
 
 
 def _drawn_blocks(blocked: DataFrame, recipe: Recipe) -> DataFrame:
@@ -178,27 +187,30 @@ def _drawn_blocks(blocked: DataFrame, recipe: Recipe) -> DataFrame:
     )
 
 
-def _fill(rows: pa.Table) -> pa.Table:
-    """The opened block of one source: its documents in random order, each if it still fits; the others lose a copy."""
+def _left_out(rows: pa.Table) -> pa.Table:
+    """Places in the opened block of one source that lose a copy: documents in random order, each if it no longer fits.
+
+    A block has about ``block_docs`` documents, or a ``most_blocks``-th of its source.
+    """
     sizes, turn = rows.column("_llm_size").to_numpy(), rows.column("_llm_turn").to_numpy()
     left, fits = rows.column("_llm_open")[0].as_py(), np.zeros(len(sizes), bool)
     for i in np.lexsort((sizes, turn)):
         if sizes[i] <= left:
             fits[i] = True
             left -= int(sizes[i])
-    lists = [x if fit else x[:-1] for x, fit in zip(rows.column("_llm_shards").to_pylist(), fits)]
-    at = rows.schema.get_field_index("_llm_shards")
-    return rows.set_column(at, rows.schema.field(at), pa.array(lists, rows.schema.field(at).type))
+    return rows.select([FILE, ROW]).filter(pa.array(~fits))
+
+
+def drawn(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
+    """The mix with the place that each row was read from: whole rows by output shard, shuffled inside each."""
+    out = copies(docs, recipe).select(WHOLE, FILE, ROW, "_llm_key", F.posexplode("_llm_shards").alias("_llm_copy", "_llm_shard"))
+    return out.repartition("_llm_shard").sortWithinPartitions("_llm_shard", _random(recipe, "_llm_key", "_llm_copy", F.lit("shuffle")))
 
 
 def mix(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """The mix: a row of ``docs`` for each copy, in files by output shard and shuffled inside each.
 
     See :func:`copies` for nulls, ties and repeated rows; a document of no words is taken with its block.
+    Columns keep their names, whatever these are.
     """
-    chosen = copies(docs, recipe)
-    drawn = chosen.select(*docs.columns, F.posexplode("_llm_shards").alias("_llm_copy", "_llm_shard"))
-    return (
-        drawn.repartition("_llm_shard").sortWithinPartitions("_llm_shard", _random(recipe, "doc_id", "_llm_copy", F.lit("shuffle")))
-        .select(*docs.columns)
-    )
+    return drawn(docs, recipe).select(f"{WHOLE}.*")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from listing_lake.llm import (
     alignment, embeddings, exact_dedup, language, lexical, mixing, near_dup, packing, personal, quality, sharding, substrings, urls,
 )
-from listing_lake.llm.tables import load
+from listing_lake.llm.tables import FILE, ROW, WHOLE, load
 
 
 def site_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,11 +42,12 @@ def histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    mixed = mixing.copies(load(spark, folder, "documents"), columns=["doc_id"])
-    return mixed.select(
-        "doc_id", F.col("_llm_size").alias("size"), F.col("_llm_source_size").alias("source_size"),
-        F.col("_llm_target").alias("target"), (F.col("_llm_size") * F.size("_llm_shards")).alias("taken"),
-        F.col("_llm_shards").alias("shards"),
+    """Words taken are counted in the rows that the mix returns; documents that it does not hold have 0."""
+    docs = load(spark, folder, "documents")
+    copied = mixing.drawn(docs).select(FILE, ROW, mixing.n_words(f"{WHOLE}.text").alias("words")).groupBy(FILE, ROW).agg(F.sum("words").alias("words"))
+    return mixing.copies(docs).join(copied, [FILE, ROW], "left").select(
+        f"{WHOLE}.doc_id", F.col("_llm_size").alias("size"), F.col("_llm_source_size").alias("source_size"),
+        F.col("_llm_target").alias("target"), F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
     )
 
 
