@@ -13,8 +13,9 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 1 << 20
 
 _U64 = np.uint64
-#: Odd multipliers of the byte and word polynomials.
-_BYTE_BASE, _WORD_BASE, _SECOND_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
+#: What tells apart the two fingerprints, and the steps of each.
+_SEEDS = (0x9E3779B97F4A7C15, 0xAF251AF3B0F025B5)
+_STEP, _FOLD = _U64(0xD1342543DE82EF95), _U64(0x632BE59BD9B4E019)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,41 +29,41 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: One random number per byte value.
-_BYTES = mix(np.arange(1, 257, dtype=_U64) * _U64(0x632BE59BD9B4E019))
 #: Words are runs of other bytes than 0x20 and 0x09 to 0x0D; in UTF-8 these stand for themselves.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-#: Powers of each base and of its inverse, as far as they were needed.
-_KNOWN: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def _span_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(values) + 1, _U64)
+    np.cumsum(values, out=total[1:])
+    return total[ends] - total[starts]
 
 
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of ``base`` and of its inverse, modulo 2**64, from 0 to below ``size`` at least."""
-    if base not in _KNOWN or len(_KNOWN[base][0]) < size:
-        out = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            x = np.full(1 << max(12, (size - 1).bit_length()), b, _U64)
-            x[:1] = 1
-            out.append(np.multiply.accumulate(x))
-        _KNOWN[base] = (out[0], out[1])
-    return _KNOWN[base]
+def _placed(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """Fingerprint of ``values[start:end]`` for spans in order: the sum of what each value mixes to at its place.
 
+    Every pair of value and place has a random number of its own, so no pattern of values cancels out.
+    """
+    at = np.arange(len(values), dtype=_U64)
+    size = ends - starts
+    if len(starts):
+        inside = np.repeat(starts, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        at[inside] -= np.repeat(starts, size).astype(_U64)
+    own = mix(values.astype(_U64) * _FOLD + mix(at * _STEP + _U64(seed)))
+    return mix(_span_sums(own, starts, ends) + size.astype(_U64) * _STEP + _U64(seed))
 
-def _span_sums(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial hash of ``values[start:end]`` for each span, independent of where it stands."""
-    up, down = _powers(base, len(values) + 1)
-    total = np.zeros(len(values) + 1, _U64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return (total[ends] - total[starts]) * down[starts]
+
+def _joined(left: np.ndarray, right: np.ndarray, seed: int) -> np.ndarray:
+    """Fingerprints of two neighbours as one; their order counts."""
+    return mix(left * _STEP + mix(right + _U64(seed)))
 
 
 class Words(NamedTuple):
     """The words of some texts, one after another."""
 
     hashes: np.ndarray  #: a fingerprint per word
+    others: np.ndarray  #: a second one, independent of the first
     starts: np.ndarray  #: first byte of each word in ``data``
     ends: np.ndarray
     first: np.ndarray  #: index of the first word of each text, and at last the number of words
@@ -77,18 +78,29 @@ class Words(NamedTuple):
         return np.repeat(self.first[1:], np.diff(self.first)) - np.arange(len(self.hashes))
 
     def windows(self, length: int, second: bool = False) -> np.ndarray:
-        """Fingerprint of the ``length`` words from each word on; meaningless where :meth:`left` is smaller."""
-        n = len(self.hashes)
-        out = np.zeros(n, _U64)
-        if n >= length:
-            starts = np.arange(n - length + 1)
-            out[: len(starts)] = mix(_span_sums(self.hashes, _SECOND_BASE if second else _WORD_BASE, starts, starts + length))
+        """Fingerprint of the ``length`` words from each word on; meaningless where :meth:`left` is smaller.
+
+        Windows of a power of two are made of two halves each, others of such windows side by side.
+        """
+        n, seed, power = len(self.hashes), _SEEDS[second], 1
+        own = self.others if second else self.hashes
+        out, have, rest = None, 0, length
+        while rest:
+            if rest & 1:
+                part = np.zeros(n, _U64)
+                part[: max(n - have, 0)] = own[have:]
+                out = part if out is None else _joined(out, part, seed + power)
+                have += power
+            rest >>= 1
+            if rest:
+                later = np.zeros(n, _U64)
+                later[: max(n - power, 0)] = own[power:]
+                own, power = _joined(own, later, seed - power), 2 * power
         return out
 
     def whole(self, second: bool = False) -> np.ndarray:
         """Fingerprint of all words of each text."""
-        sums = _span_sums(self.hashes, _SECOND_BASE if second else _WORD_BASE, self.first[:-1], self.first[1:])
-        return mix(sums + np.diff(self.first).astype(_U64))
+        return _placed(self.others if second else self.hashes, self.first[:-1], self.first[1:], _SEEDS[second])
 
 
 def split(texts: pa.Array) -> Words:
@@ -108,8 +120,8 @@ def split(texts: pa.Array) -> Words:
     tails = bounds[1:][bounds[1:] > 0] - 1
     ending[tails] = inside[tails]
     starts, ends = np.flatnonzero(starting), np.flatnonzero(ending) + 1
-    hashes = mix(_span_sums(_BYTES[data], _BYTE_BASE, starts, ends) + (ends - starts).astype(_U64))
-    return Words(hashes, starts, ends, np.searchsorted(starts, bounds), data)
+    hashes, others = (_placed(data, starts, ends, seed) for seed in _SEEDS)
+    return Words(hashes, others, starts, ends, np.searchsorted(starts, bounds), data)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -84,12 +84,28 @@ def test_exact_classes_hold_when_digests_collide(spark, digest):
     assert sorted(r.keep_id or -1 for r in rows if r.doc_id is None) == [-1, -1, 11]
 
 
-def test_exact_state_spans_micro_batches(spark):
+@pytest.mark.parametrize("batches", [4, 6])
+def test_exact_state_spans_micro_batches(spark, monkeypatch, batches):
+    seen = []
+    fresh = exact_dedup.fresh_path
+    monkeypatch.setattr(exact_dedup, "fresh_path", lambda s, label: seen.append((label, fresh(s, label))) or seen[-1][1])
     docs = frame(spark, EXACT * 3).repartition(6)
-    rows = exact_dedup.classes(docs, bytes_per_batch=1).collect()
+    rows = exact_dedup.classes(docs, batches=batches).collect()
     sizes = Counter(t or "" for _, t in EXACT)
     assert sorted(r.group_size for r in rows) == sorted(3 * sizes[t or ""] for _, t in EXACT * 3)
     assert sum(r.kept for r in rows) == len(sizes)
+    updates = spark.read.parquet(dict(seen)["updates"])
+    assert updates.select("batch").distinct().count() >= batches
+    # a digest met in several batches was found in the state: its count goes on from there
+    assert updates.groupBy("digest").count().filter("count > 1").count() > 0
+
+
+def test_exact_query_meets_its_state(spark, monkeypatch):
+    seen = []
+    fresh = exact_dedup.fresh_path
+    monkeypatch.setattr(exact_dedup, "fresh_path", lambda s, label: seen.append((label, fresh(s, label))) or seen[-1][1])
+    assert exact_dedup.classes(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).count() > 0
+    assert spark.read.parquet(dict(seen)["updates"]).select("batch").distinct().count() >= 3
 
 
 def test_exact_deduplicate(spark):
@@ -136,11 +152,37 @@ def test_repeats_against_brute_force(spark, length):
     assert sorted(map(tuple, got.collect()), key=repr) == brute_repeats(rows, length)
 
 
-def test_repeats_without_texts_say_the_same(spark, monkeypatch):
-    rows = passages()
-    got = substrings.remove_repeats(frame(spark, rows), 35, keep_text=False)
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted((r[:4] for r in brute_repeats(rows, 35)), key=repr)
+def thue_morse(n, one, other):
+    """A sequence that no polynomial hash modulo a power of two tells from its complement."""
+    return [(one, other)[bin(i).count("1") % 2] for i in range(n)]
+
+
+def test_repeats_of_words_and_texts_that_polynomials_confuse(spark):
+    head = " ".join(prose(random.Random(1), 34))
+    rows = [(1, head + " " + "".join(thue_morse(1024, "a", "b"))), (2, head + " " + "".join(thue_morse(1024, "b", "a")))]
+    rows += [(3, " ".join(thue_morse(1024, "p", "q"))), (4, " ".join(thue_morse(1024, "q", "p")))]
+    got = substrings.remove_repeats(frame(spark, rows), 35).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_repeats(rows, 35)
     assert substrings.remove_repeats(frame(spark, rows).filter("n > 5"), 35).collect() == []
+    short = [(1, "".join(thue_morse(1024, "a", "b"))), (2, "".join(thue_morse(1024, "b", "a")))]
+    assert all(r["group_size"] == 1 for r in near_dup.classes(frame(spark, short)).collect())
+    both = words.split(pa.array([rows[2][1], rows[3][1]]))
+    assert len(set(both.whole().tolist())) == len(set(both.whole(second=True).tolist())) == 2
+
+
+CLASHES = "doc_id long, text string, lang string, source string, of string, _llm_size long, _llm_src int, _llm_file string, _llm_row int, _llm_key string, shards int"
+
+
+def test_columns_named_like_an_operators_own(spark):
+    from listing_lake.llm import mixing, sharding
+
+    rows = [(i, f"some words of text {i % 7} and more of them", "en", f"s{i % 3}", "o", i, 1, "f", 2, "k", 3) for i in range(30)]
+    docs = spark.createDataFrame(rows, CLASHES)
+    assert exact_dedup.deduplicate(docs).columns == docs.columns and exact_dedup.deduplicate(docs).count() == 7
+    assert near_dup.deduplicate(docs).columns == docs.columns
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and set(map(tuple, mixed.collect())) <= set(rows)
+    assert sorted(tuple(r)[:11] for r in sharding.shard(docs).collect()) == sorted(rows)
 
 
 def test_levels_double():
