@@ -14,9 +14,12 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listing_lake.llm.tables import FILE, ROW, located, written
+from listing_lake.llm.tables import FILE, ROW, located, packed, unpacked, written
 from listing_lake.session import fresh_path
 
+#: Files of fingerprints that one micro-batch takes at most; each is what one task made of its share of the texts.
+BATCH_FILES = 4096
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _STATE = {
     _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -36,18 +39,24 @@ def body(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
-def classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256, bytes_per_batch: int = 16 << 30) -> DataFrame:
+def classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256, batches: int = 4) -> DataFrame:
     """One row per document: ``doc_id``, ``keep_id``, ``group_size``, ``kept``, the digest, and its place.
 
     Equal texts form a group; a null text is empty.  The row with the largest id stays, a null id being
     the smallest; of rows repeated with the same id and text the last by place stays, and only that one
     has ``kept``.  Other columns of ``docs`` are ignored.  An empty table gives an empty result.
-    ``bytes_per_batch`` is how much of the fingerprints one micro-batch takes.
+    The fingerprints arrive in at least ``batches`` micro-batches, more where one would have more than
+    :data:`BATCH_FILES` files.
     """
-    spark = docs.sparkSession
-    placed = located(docs).select("doc_id", "text", FILE, ROW)
+    return _classes(located(docs.select("doc_id", "text")), digest, batches)
+
+
+def _classes(placed: DataFrame, digest: Callable[[Column], Column] = sha256, batches: int = 4) -> DataFrame:
+    spark = placed.sparkSession
     prints = written(placed.select("doc_id", digest(body()).alias("digest"), FILE, ROW), "fingerprints")
-    known = _stream(spark, prints, bytes_per_batch)
+    if len(prints.inputFiles()) < batches:
+        prints = written(prints.repartition(batches, FILE, ROW), "fingerprints")
+    known = _stream(spark, prints, batches)
     mixed = written(_mixed(placed, known, digest), "mixed-digests")
     whole = prints.join(known, "digest")
     if not mixed.isEmpty():
@@ -58,14 +67,14 @@ def classes(docs: DataFrame, digest: Callable[[Column], Column] = sha256, bytes_
     )
 
 
-def _stream(spark: SparkSession, prints: DataFrame, bytes_per_batch: int) -> DataFrame:
+def _stream(spark: SparkSession, prints: DataFrame, batches: int) -> DataFrame:
     """Digest, group size and newest member, after all fingerprints have passed through the state."""
     source, updates, progress = prints.inputFiles(), fresh_path(spark, "updates"), fresh_path(spark, "state")
     schema = "digest string, group_size long, newest struct<doc_id: long, _llm_file: long, _llm_row: long>"
     if not source:
         return spark.createDataFrame([], schema)
     stream = (
-        spark.readStream.schema(prints.schema).option("maxBytesPerTrigger", bytes_per_batch)
+        spark.readStream.schema(prints.schema).option("maxFilesPerTrigger", max(1, min(len(source) // batches, BATCH_FILES)))
         .parquet(source[0].rsplit("/", 1)[0])
         .groupBy("digest")
         .agg(F.count("*").alias("group_size"), F.max(F.struct("doc_id", FILE, ROW)).alias("newest"))
@@ -116,7 +125,7 @@ def _separated(placed: DataFrame, whole: DataFrame, mixed: DataFrame, digest: Ca
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`classes` keeps, with all their columns."""
-    placed = located(docs)
-    kept = classes(placed, **options).filter("kept").select(FILE, ROW)
-    return placed.join(kept, [FILE, ROW], "left_semi").select(*docs.columns)
+    """The rows of ``docs`` that :func:`classes` keeps, with all their columns, whatever their names."""
+    placed = packed(docs, "doc_id", "text")
+    kept = _classes(placed.select("doc_id", "text", FILE, ROW), **options).filter("kept").select(FILE, ROW)
+    return unpacked(placed.join(kept, [FILE, ROW], "left_semi"))
