@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listing_lake.llm import words
-from listing_lake.llm.tables import FILE, ROW, located, written
+from listing_lake.llm.tables import FILE, ROW, erase, located, stored, written
 
 _PLACE = f"{FILE} long, {ROW} long"
 _ANCHOR = pa.schema([(FILE, pa.int64()), (ROW, pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32())])
@@ -111,7 +111,7 @@ def _rows(batch: pa.RecordBatch, doc: np.ndarray, value: np.ndarray, n: int, sec
     )
 
 
-def _extend(short: int, long: int, keep_text: bool):
+def _extend(short: int, long: int):
     """Last level: the long windows whose short ones repeat; documents without any are finished here.
 
     Of documents with the same words, in the column ``copy``, all windows repeat.  The first of them (2)
@@ -132,7 +132,7 @@ def _extend(short: int, long: int, keep_text: bool):
             total = np.bincount(group, 1 + (copy[where] == 2)).astype(np.int64)
             open_ = np.zeros(batch.num_rows, bool)
             open_[where] = True
-            yield _documents(batch, w, open_ | (copy > 0), keep_text)
+            yield _documents(batch, w, open_ | (copy > 0))
             once = total[group] == 1
             yield _found(batch, where[once], 1, start[once], a[once], b[once])
             known, begin = where[~once], start[~once]
@@ -174,12 +174,12 @@ def _settled(batch, doc, start) -> pa.RecordBatch:
     return _lists(batch, docs, 0, 2 * np.append(cut, len(head)), runs)
 
 
-def _documents(batch: pa.RecordBatch, w: words.Words, open_: np.ndarray, keep_text: bool) -> pa.RecordBatch:
-    """A row per document; those that may lose words, and all whose text is wanted, carry it."""
-    sha = [None if o else hashlib.sha256(_kept(w, i, None)).hexdigest() for i, o in enumerate(open_)]
+def _documents(batch: pa.RecordBatch, w: words.Words, open_: np.ndarray) -> pa.RecordBatch:
+    """A row per document: its text if it may lose words, else what is kept and the digest of that."""
+    kept = [None if o else _kept(w, i, None) for i, o in enumerate(open_)]
+    sha = [None if k is None else hashlib.sha256(k).hexdigest() for k in kept]
     text, n = batch.column("text").cast(pa.large_string()), batch.num_rows
-    if not keep_text:
-        text = pa.compute.if_else(pa.array(open_), text, pa.nulls(n, pa.large_string()))
+    text = pa.compute.if_else(pa.array(open_), text, pa.array([None if k is None else k.decode() for k in kept], pa.large_string()))
     lists = [pa.nulls(n, f.type) for f in list(_EXTENDED)[7:]]
     return pa.record_batch(
         [
@@ -208,7 +208,7 @@ def _kept(w: words.Words, i: int, covered: np.ndarray | None) -> bytes:
     return out[:-1].tobytes()
 
 
-def _finish(length: int, keep_text: bool):
+def _finish(length: int):
     """Last step: documents with the starts of their repeated windows lose the words these cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +225,7 @@ def _finish(length: int, keep_text: bool):
                 kept = _kept(w, i, covered)
                 columns["n"].append(int(covered.sum()))
                 columns["sha"].append(hashlib.sha256(kept).hexdigest())
-                columns["text"].append(kept.decode() if keep_text else None)
+                columns["text"].append(kept.decode())
             yield pa.record_batch(
                 [
                     batch.column("doc_id"), pa.array(np.diff(w.first), pa.int64()), pa.array(columns["n"], pa.int64()),
@@ -240,10 +240,11 @@ def _finish(length: int, keep_text: bool):
 def _repeated(table: DataFrame, key: list[str]) -> DataFrame:
     """Rows met once in their batch whose key is met elsewhere.
 
-    A batch sends one row for a key, so the window over a key has at most one row for each batch.
+    Keys are counted by partial sums; the rows of a key, one for each batch, are then joined, so those of
+    a key that is everywhere can be split over tasks.
     """
-    total = F.sum("n").over(Window.partitionBy(*key))
-    return table.withColumn("total", total).filter("total > 1 AND n = 1")
+    total = table.groupBy(*key).agg(F.sum("n").alias("total")).filter("total > 1").select(*key)
+    return table.filter("n = 1").join(total, key, "left_semi")
 
 
 def _copies(anchors: DataFrame) -> DataFrame:
@@ -254,21 +255,23 @@ def _copies(anchors: DataFrame) -> DataFrame:
     return whole.join(groups, ["a", "b"]).select(FILE, ROW, F.when(place == F.col("first"), 2).otherwise(1).alias("copy"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 35, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     """Remove each word that lies in a window of ``length`` words which also starts elsewhere, same document included.
 
-    Returns a row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and, if wanted,
-    ``kept_text``: the remaining words joined by one space.  Windows are judged on the input.  Windows
-    are equal when 96 bits of fingerprint of their words are.  A null or empty text has no words, rows
+    Returns a row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and ``kept_text``:
+    the remaining words joined by one space.  Windows are judged on the input.  Windows are equal when 96
+    bits of two independent fingerprints of their words are.  A null or empty text has no words, rows
     repeated with the same id count as two documents, an empty table gives an empty result, other
     columns are ignored.
     """
     levels = halves(length)
     placed, place, hits, copies = located(docs.select("doc_id", "text")), [FILE, ROW], None, None
+    used = []
     for before, short, long in zip([None, *levels], levels[:-1] or levels, levels[1:] or levels):
         source = placed.select(*place, "text")
         source = source if hits is None else source.join(hits, place)
-        anchors = written(source.mapInArrow(_anchors(before, short, long), f"{_PLACE}, a long, b long, n int"), "anchors")
+        anchors, path = stored(source.mapInArrow(_anchors(before, short, long), f"{_PLACE}, a long, b long, n int"), "anchors")
+        used.append((anchors, path))
         copies = copies or _copies(anchors)
         counted = anchors.filter("n IN (1, 2)").select(*place, "a", "n")
         hits = anchors.filter("n = 0").select(*place, "a").unionByName(_repeated(counted, ["a"]).select(*place, "a"))
@@ -278,23 +281,24 @@ def remove_repeats(docs: DataFrame, length: int = 35, keep_text: bool = True) ->
     joined = placed.join(hits, place, "left")
     extended = written(
         joined.mapInArrow(
-            _extend(short, length, keep_text),
+            _extend(short, length),
             f"{_PLACE}, n int, doc_id long, text string, n_words long, sha string, at array<int>, a array<long>, b array<int>",
         ),
         "extended",
     )
+    for table in used:
+        erase(*table)
     windows = extended.filter("n IN (1, 2)").select(*place, "n", F.explode(F.arrays_zip("at", "a", "b")).alias("w")).select(*place, "n", "w.*")
     runs = extended.filter("n = 0").select(*place, F.lit(None).cast("int").alias("at"), F.col("at").alias("run"))
     starts = _repeated(windows, ["a", "b"]).select(*place, "at", F.lit(None).cast("array<int>").alias("run")).unionByName(runs)
     starts = starts.groupBy(*place).agg(F.collect_list("at").alias("starts"), F.flatten(F.collect_list("run")).alias("runs"))
     rows = extended.filter("n IS NULL")
-    open_ = rows if keep_text else rows.filter("sha IS NULL")
-    done = open_.select(*place, "doc_id", "text").join(starts, place, "left").select("doc_id", "text", "starts", "runs").mapInArrow(
-        _finish(length, keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    )
-    if keep_text:
-        return done
     untouched = rows.filter("sha IS NOT NULL").select(
-        "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256")
+        "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"), F.col("text").alias("kept_text")
+    )
+    # only documents that may lose words are moved once more
+    open_ = rows.filter("sha IS NULL").select(*place, "doc_id", "text")
+    done = open_.join(starts, place, "left").select("doc_id", "text", "starts", "runs").mapInArrow(
+        _finish(length), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
-    return untouched.unionByName(done.drop("kept_text"))
+    return untouched.unionByName(done)

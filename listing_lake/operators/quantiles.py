@@ -17,7 +17,7 @@ from listing_lake.session import fresh_path
 from listing_lake.sources.snapshots import write_snapshot
 
 #: Rows that a task orders at once.
-BUDGET = 65_536
+BUDGET = 1 << 20
 #: Bits that one pass resolves: a bracket has so many powers of two of cells.
 PASS_BITS = 12
 
