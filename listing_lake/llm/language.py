@@ -11,7 +11,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listing_lake.llm import words
+from listing_lake.llm.tables import written
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -28,7 +28,6 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Settings:
     train_rows: int = 6000  #: labelled documents in the sample, dealt equally to the languages
     train_words: int = 400  #: of each of them, taken evenly from its whole text
-    most_languages: int = 500
     buckets: int = 1 << 15
     width: int = 16
     subwords: tuple[int, ...] = (2, 3, 4)
@@ -44,7 +43,8 @@ class Settings:
 @dataclass
 class Model:
     languages: list[str]
-    scores: np.ndarray  #: what each bucket adds to each language, before the average
+    embed: np.ndarray  #: a row per bucket
+    linear: np.ndarray
     bias: np.ndarray
     temperature: float
     threshold: float
@@ -66,30 +66,48 @@ def letters(text: str) -> list[str]:
     return [w for w in _WORD.findall(text.lower()) if any(map(str.isalpha, w))]
 
 
-def _sample(docs: DataFrame, s: Settings) -> list[tuple[str, list[str]]]:
-    """(language, words) of the training sample, which has about ``train_rows`` rows and never twice as many."""
+def _sample(docs: DataFrame, s: Settings) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """Language, buckets and how often each occurs, of a sample of about ``train_rows`` rows and never twice as many.
+
+    Each language has an equal share of it, whatever their number.  Words are hashed where the rows are.
+    """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 2))
-    found = labelled.groupBy("lang").count().limit(s.most_languages + 1).collect()
-    if len(found) > s.most_languages:
-        raise ValueError(f"more than {s.most_languages} languages")
+    counted = written(labelled.groupBy("lang").count(), "languages")
+    found = counted.count()
     if not found:
         return []
-    each = s.train_rows / len(found)
-    share = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, each / r["count"]))])
+    share = counted.select("lang", F.least(F.lit(1.0), s.train_rows / found / F.col("count")).alias("share"))
     chance = F.pmod(F.xxhash64("doc_id", "text", F.lit(s.seed)), F.lit(1 << 40)) / float(1 << 40)
-    picked = labelled.filter(chance < share[F.col("lang")]).select("lang", "text").limit(2 * s.train_rows)
+    picked = labelled.select("lang", "text", chance.alias("chance")).join(share, "lang").filter("chance < share")
+    narrow = np.int16 if s.buckets <= 1 << 15 else np.int32
 
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = []
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
+        for batch in words.chunks(batches, "text"):
+            own, times = [], []
             for text in batch.column("text").to_pylist():
-                own = letters(text)
-                step = max(1.0, len(own) / s.train_words)
-                lists.append([own[int(i * step)][:64] for i in range(min(len(own), s.train_words))])
-            yield pa.record_batch([batch.column("lang"), pa.array(lists, pa.list_(pa.string()))], ["lang", "words"])
-
-    rows = picked.mapInArrow(thin, "lang string, words array<string>").collect()
-    return sorted((r["lang"], list(r["words"])) for r in rows if r["words"])
+                if len(known) > 50_000:
+                    known.clear()
+                all_, parts = letters(text), []
+                step = max(1.0, len(all_) / s.train_words)
+                for word in (all_[int(i * step)] for i in range(min(len(all_), s.train_words))):
+                    if word not in known:
+                        known[word] = subwords(word, s.subwords, s.buckets)
+                    parts += known[word]
+                bucket, n = np.unique(np.array(parts, np.int32), return_counts=True)
+                own.append(bucket.astype(narrow))
+                times.append(n.astype(np.int32))
+            lists = pa.array(own, pa.list_(pa.from_numpy_dtype(narrow))), pa.array(times, pa.list_(pa.int32()))
+            yield pa.record_batch([batch.column("lang"), *lists], ["lang", "bucket", "n"])
+
+    kind = "smallint" if narrow is np.int16 else "int"
+    rows = picked.select("lang", "text").mapInArrow(hashed, f"lang string, bucket array<{kind}>, n array<int>").limit(2 * s.train_rows).toArrow()
+    out = []
+    for part in rows.to_batches():
+        for lang, bucket, n in zip(*(part.column(c) for c in ("lang", "bucket", "n"))):
+            if len(bucket.values):
+                out.append((lang.as_py(), bucket.values.to_numpy(), n.values.to_numpy()))  # views of what was fetched
+    return sorted(out, key=lambda x: (x[0], x[1].tobytes()))
 
 
 def train(docs: DataFrame, s: Settings = Settings()) -> Model | None:
@@ -97,16 +115,9 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Model | None:
     sample = _sample(docs, s)
     if not sample:
         return None
-    languages = sorted({lang for lang, _ in sample})
-    examples = []
-
-    @lru_cache(maxsize=200_000)
-    def parts(word: str) -> np.ndarray:
-        return np.array(subwords(word, s.subwords, s.buckets), np.int64)
-
-    for lang, own in sample:
-        bucket, n = np.unique(np.concatenate([parts(w) for w in own]), return_counts=True)
-        examples.append((bucket, (n / n.sum()).astype(np.float32), languages.index(lang)))
+    languages = sorted({lang for lang, _, _ in sample})
+    number = {lang: i for i, lang in enumerate(languages)}
+    examples = [(bucket, n, number[lang]) for lang, bucket, n in sample]
     rng = np.random.default_rng(s.seed)
     order = rng.permutation(len(examples))
     held = order[: int(len(order) * s.calibrate)] if len(order) >= 10 else order
@@ -117,7 +128,8 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Model | None:
     steps, done = s.epochs * len(fit), 0
     for _ in range(s.epochs):
         for i in rng.permutation(fit):
-            bucket, part, label = examples[i]
+            bucket, n, label = examples[i]
+            part = (n / n.sum()).astype(np.float32)
             rate = s.rate * (1 - done / steps)
             done += 1
             middle = part @ embed[bucket]
@@ -128,14 +140,13 @@ def train(docs: DataFrame, s: Settings = Settings()) -> Model | None:
             bias -= rate * 0.01 * wrong
             # in an average over many subwords each moves little, so the step is scaled by their number
             embed[bucket] -= rate * min(len(bucket), 50) * part[:, None] * back
-    scores = embed @ linear
-    raw = np.array([examples[i][1] @ scores[examples[i][0]] + bias for i in held])
+    raw = np.array([examples[i][1] @ embed[examples[i][0]] / examples[i][1].sum() @ linear + bias for i in held])
     label = np.array([examples[i][2] for i in held])
     temperature = min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=lambda t: -np.log(_softmax(raw / t)[np.arange(len(held)), label] + 1e-12).sum())
     p = _softmax(raw / temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == label]
     threshold = min(s.most_threshold, float(np.quantile(right, s.refuse))) if len(right) else 0.0
-    return Model(languages, scores.astype(np.float32), bias, float(temperature), threshold, s.subwords)
+    return Model(languages, embed, linear, bias, float(temperature), threshold, s.subwords)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -144,9 +155,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Scores whole texts; remembers what a word adds, for so many words."""
+    """Scores whole texts; remembers the sum of a word's embeddings, for so many words."""
 
-    remembered = 300_000
+    remembered = 200_000
 
     def __init__(self, model: Model):
         self.model = model
@@ -154,14 +165,14 @@ class Scorer:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.table = np.zeros((1024, len(self.model.languages) + 1), np.float32)
+        self.table = np.zeros((1024, self.model.embed.shape[1] + 1), np.float32)
 
     def _add(self, word: str) -> int:
-        bucket = subwords(word, self.model.subwords, len(self.model.scores)) if any(map(str.isalpha, word)) else []
+        bucket = subwords(word, self.model.subwords, len(self.model.embed)) if any(map(str.isalpha, word)) else []
         at = len(self.index)
         if at == len(self.table):
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
-        self.table[at, :-1], self.table[at, -1] = self.model.scores[bucket].sum(axis=0), len(bucket)
+        self.table[at, :-1], self.table[at, -1] = self.model.embed[bucket].sum(axis=0), len(bucket)
         self.index[word] = at
         return at
 
@@ -178,17 +189,28 @@ class Scorer:
             total = self.table[at].sum(axis=0, dtype=np.float64)
         if not total[-1]:
             return UNKNOWN, 0.0
-        p = _softmax((total[:-1] / total[-1] + self.model.bias) / self.model.temperature)
+        p = _softmax((total[:-1] / total[-1] @ self.model.linear + self.model.bias) / self.model.temperature)
         best = int(p.argmax())
         return self.model.languages[best], float(p[best])
 
 
-def _judged(docs: DataFrame, model: Model | None, kept_only: bool, schema: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+#: The scorer of a Python worker, which keeps the words it knows from task to task.
+_KEPT: list[Scorer] = []
+
+
+def _scorer(model: Model) -> Scorer:
+    same = _KEPT and _KEPT[0].model.languages == model.languages and all(
+        np.array_equal(getattr(_KEPT[0].model, f), getattr(model, f)) for f in ("embed", "linear", "bias")
+    )
+    if not same or _KEPT[0].model.temperature != model.temperature:
+        _KEPT[:] = [Scorer(model)]
+    return _KEPT[0]
 
+
+def _judged(docs: DataFrame, model: Model | None, kept_only: bool, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value) if shared.value else None
-        least = shared.value.threshold if shared.value else 0.0
+        scorer = _scorer(model) if model else None
+        least = model.threshold if model else 0.0
         for batch in words.chunks(batches, "text"):
             found = [scorer(t) if scorer else (UNKNOWN, 0.0) for t in batch.column("text").to_pylist()]
             refused = pa.array([lang == UNKNOWN or score < least for lang, score in found], pa.bool_())

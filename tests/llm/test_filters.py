@@ -192,3 +192,13 @@ def test_a_hot_key_is_spread_over_ranges():
     assert set(out.column("range").to_pylist()) == {1, 2, 3, 4}
     rule = pa.RecordBatch.from_pydict({"page_id": pa.array([None], pa.int64()), "host": ["k"], "path": ["/"], "key": ["k."], "verdict": ["block"]})
     assert next(urls._touched(borders)(iter([rule]))).column("range").to_pylist() == [1, 2, 3, 4]
+
+
+def test_more_labels_than_a_table_of_them_would_hold(spark):
+    rows = [(i, f"wort{i % 900} text{i % 900} mehr{i % 900}" if i % 7 else None, f"l{i % 900:03d}", "s", 1) for i in range(3600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = language.train(docs, language.Settings(epochs=1))
+    assert len(model.languages) > 500
+    found = language.predict(docs, model).collect()
+    assert len(found) == 3600 and {r.lang_pred for r in found} <= {*model.languages, "und"}
+    assert language.keep_identified(docs, model).columns == docs.columns
