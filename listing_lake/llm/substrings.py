@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listing_lake.llm import words
@@ -247,6 +247,15 @@ def _repeated(table: DataFrame, key: list[str]) -> DataFrame:
     return table.filter("n = 1").join(total, key, "left_semi")
 
 
+def _repeated_windows(windows: DataFrame) -> DataFrame:
+    """:func:`_repeated` for the many windows of the last level, which are exchanged once instead of twice.
+
+    The window over a key has one row for each batch that holds it, a few words for each MiB of text.
+    """
+    total = F.sum("n").over(Window.partitionBy("a", "b"))
+    return windows.withColumn("total", total).filter("total > 1 AND n = 1")
+
+
 def _copies(anchors: DataFrame) -> DataFrame:
     """Documents that have all their words in common with others: ``copy`` 2 for the first of them, 1 for the others."""
     place = F.struct(FILE, ROW)
@@ -290,7 +299,7 @@ def remove_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
         erase(*table)
     windows = extended.filter("n IN (1, 2)").select(*place, "n", F.explode(F.arrays_zip("at", "a", "b")).alias("w")).select(*place, "n", "w.*")
     runs = extended.filter("n = 0").select(*place, F.lit(None).cast("int").alias("at"), F.col("at").alias("run"))
-    starts = _repeated(windows, ["a", "b"]).select(*place, "at", F.lit(None).cast("array<int>").alias("run")).unionByName(runs)
+    starts = _repeated_windows(windows).select(*place, "at", F.lit(None).cast("array<int>").alias("run")).unionByName(runs)
     starts = starts.groupBy(*place).agg(F.collect_list("at").alias("starts"), F.flatten(F.collect_list("run")).alias("runs"))
     rows = extended.filter("n IS NULL")
     untouched = rows.filter("sha IS NOT NULL").select(
