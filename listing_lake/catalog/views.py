@@ -197,6 +197,11 @@ FROM {corners}
 """
 
 
+#: Tables that a view joins by key and that grow with the data.  Their files are far smaller than their rows, so
+#: that left to the planner they would be collected in the driver and broadcast at any size.
+SHUFFLED = {"listings": "customer"}
+
+
 def _needs(name: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", VIEWS[name])))
 
@@ -211,7 +216,10 @@ class Views:
     def __call__(self, name: str) -> DataFrame:
         if name not in VIEWS:
             return load(self.spark, self.folder, name)
-        return self.sql(VIEWS[name], *_needs(name))
+        tables = {n: self(n) for n in _needs(name)}
+        if name in SHUFFLED:
+            tables[SHUFFLED[name]] = tables[SHUFFLED[name]].hint("merge")
+        return self.spark.sql(VIEWS[name], **tables)
 
     def sql(self, text: str, *names: str) -> DataFrame:
         """SQL in which ``{name}`` stands for a table or view."""

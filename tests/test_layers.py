@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listing_lake.functions import cards
+from listing_lake.catalog.views import Views
 from listing_lake.operators import merge, quality
 from listing_lake.operators.state import fold_states
 from listing_lake.plans import scoring
@@ -196,3 +197,12 @@ def test_core_queries_without_the_optional_part(monkeypatch, missing):
     monkeypatch.setattr(builtins, "__import__", fail)
     importlib.reload(entry)
     assert "price_by_comuna" in entry.queries() and not any(q.startswith("op") or q == "pipeline" for q in entry.queries())
+
+
+def test_customers_are_not_broadcast_to_the_listings(spark, tmp_path):
+    spark.sql("SELECT id AS c_custkey, id % 25 AS c_nationkey FROM range(9)").write.parquet(f"{tmp_path}/customer.parquet")
+    orders = "SELECT id AS o_orderkey, id % 9 AS o_custkey, 1.5D AS o_totalprice, DATE '2024-01-02' AS o_orderdate FROM range(30)"
+    spark.sql(orders).write.parquet(f"{tmp_path}/orders.parquet")
+    listings = Views(spark, str(tmp_path))("listings")
+    assert "SortMergeJoin" in listings._jdf.queryExecution().executedPlan().toString()
+    assert listings.count() == 30
