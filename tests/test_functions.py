@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from listing_lake.functions import calibration, dates, geo, numbers, pages, text
+from listing_lake.functions import calibration, cards, dates, geo, numbers, pages, text
 from listing_lake.operators.spatial import polygon_edges
 from listing_lake.sources.tables import reproject_wkt
 
@@ -151,3 +151,17 @@ def test_visible_text_decodes_entities_and_no_break_spaces(spark):
     row = df.select("t", *[fields[k].alias(k) for k in ("superficie_total_m2", "banos", "superficie_util_m2")]).first()
     assert (row.superficie_total_m2, row.banos, row.superficie_util_m2) == ("45", "2", "30")
     assert row.t.endswith("&lt; é é &hearts; &#9829; & &;")
+
+
+def test_entity_decoding_mentions_its_text_once(spark):
+    rows = spark.createDataFrame([("a&amp;b",)], "t string").withColumn("u", F.reverse("t"))
+    decoded = rows.select(pages.decode_entities(F.reverse(F.reverse(F.col("t")))).alias("d"))
+    assert decoded.first()["d"] == "a&b"
+    assert decoded._jdf.queryExecution().analyzed().toString().count("reverse(reverse(t") == 1
+
+
+def test_first_selector_counts_even_if_its_element_is_not_closed(spark):
+    html = "<h3 class='poly-component__title'>B</h3><h2 class='ui-search-item__title'>5 < 6 <b>A</b> &eacute;"
+    rows = spark.createDataFrame([(0, html), (1, html + "</h2>"), (2, "<p>none</p>"), (3, None)], "i int, html string")
+    got = [r["t"] for r in rows.select("i", cards.element_text(F.col("html"), cards.TITLE).alias("t")).orderBy("i").collect()]
+    assert got == ["", "5Aé", None, None]
