@@ -80,21 +80,31 @@ class PublicationStates(StatefulProcessor):
         self.settled.update((row["estado_publicacion"] or ACTIVE, failures, checked))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        settled = tuple(self.settled.get()) if self.settled.exists() else (ACTIVE, 0, None)
-        outcomes = [tuple(r) for r in self.waiting.get()]
-        if settled[0] == ACTIVE:
+        # each read or write of a state is a message to the executor, so only those that matter are sent
+        stored = self.settled.get()
+        stored = tuple(stored) if stored is not None else None
+        settled, waiting, outcomes = stored or (ACTIVE, 0, None), 0, []
+        if settled[0] == ACTIVE:  # else nothing waits and nothing that comes can change it
+            outcomes = [tuple(r) for r in self.waiting.get()]
+            waiting = len(outcomes)
             for chunk in rows:
-                found = chunk[chunk["resultado"] != CAPTCHA]
-                found = found.astype({"estado": object}).where(found.notna(), None)
-                outcomes += [(ts.to_pydatetime(), int(seq), *rest) for ts, seq, *rest in found[list(_OUTCOME)].itertuples(index=False)]
+                outcomes += [
+                    (ts.to_pydatetime(), int(seq), result if isinstance(result, str) else None, estado if isinstance(estado, str) else None)
+                    for ts, seq, result, estado in zip(*[chunk[c].tolist() for c in _OUTCOME]) if result != CAPTCHA
+                ]
             outcomes.sort(key=lambda o: o[:2])
         mark = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms").to_pydatetime()
         done = sum(o[0] <= mark for o in outcomes)
         settled = fold(settled, outcomes[:done], self.max_failures)
         if settled[0] != ACTIVE:  # nothing that comes can change it
             done = len(outcomes)
-        self.settled.update(settled)
-        self.waiting.put(outcomes[done:]) if outcomes[done:] else self.waiting.clear()
+        if settled != stored:
+            self.settled.update(settled)
+        if outcomes[done:]:
+            if done or len(outcomes) > waiting:
+                self.waiting.put(outcomes[done:])
+        elif waiting:
+            self.waiting.clear()
         state, failures, checked = fold(settled, outcomes[done:], self.max_failures)
         yield pd.DataFrame(
             {self.key: [key[0]], "estado_publicacion": [state], "intentos_fallidos": pd.array([failures], "int32"), "fecha_chequeo": [pd.Timestamp(checked) if checked else pd.NaT]}

@@ -1,9 +1,11 @@
 """Written layers, load reports, streams of pages and outcomes."""
 
 import builtins
+import datetime as dt
 import importlib
 import random
 
+import pandas as pd
 import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
@@ -206,3 +208,27 @@ def test_customers_are_not_broadcast_to_the_listings(spark, tmp_path):
     listings = Views(spark, str(tmp_path))("listings")
     assert "SortMergeJoin" in listings._jdf.queryExecution().executedPlan().toString()
     assert listings.count() == 30
+
+
+class _Stored:
+    """A state of one listing that counts what is asked of it."""
+
+    def __init__(self, value):
+        self.value, self.calls = value, []
+
+    def __getattr__(self, name):
+        def call(*given):
+            self.calls.append(name)
+            return self.value if name == "get" else self.value is not None if name == "exists" else None
+
+        return call
+
+
+def test_a_listing_whose_state_is_final_is_read_once_and_not_written():
+    states = publication.PublicationStates("id", 5)
+    states.settled, states.waiting = _Stored(("pausado", 0, dt.datetime(2024, 1, 2))), _Stored([])
+    timer = type("Timer", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+    outcomes = pd.DataFrame({"ts": [pd.Timestamp("2024-01-03")], "seq": [1], "resultado": ["ok"], "estado": ["activo"]})
+    (got,) = states.handleInputRows((1,), iter([outcomes]), timer)
+    assert got["estado_publicacion"].tolist() == ["pausado"] and got["fecha_chequeo"].tolist() == [pd.Timestamp("2024-01-02")]
+    assert states.settled.calls == ["get"] and states.waiting.calls == []
