@@ -8,6 +8,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from listing_lake.functions.geo import EARTH_RADIUS_M
+from listing_lake.functions import geo
 from listing_lake.operators import dedupe, increments, merge, quality, spatial
 from listing_lake.operators import lookup as L
 from listing_lake.operators import quantiles as Q
@@ -143,6 +144,31 @@ def test_right_sides_are_split_only_where_candidates_may_be_parted(spark):
     assert spatial.grid_candidates(left, right, 300.0, ("a", "b"), ("c", "d"), cell_pairs=500, whole=True).select("__part").distinct().count() == 1
 
 
+def test_crowded_cells_are_cut_into_square_tiles(spark):
+    rnd = random.Random(4)
+    pts = [(-36.8 + rnd.uniform(0, 0.002), -73.0 + rnd.uniform(0, 0.002)) for _ in range(400)]
+    left = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "i int, a double, b double")
+    right = spark.createDataFrame([(j, *p) for j, p in enumerate(pts)], "j int, c double, d double")
+    split = spatial.grid_candidates(left, right, 300.0, ("a", "b"), ("c", "d"), cell_pairs=1600)
+    sides = split.groupBy("__cy", "__cx", "__part").agg(F.countDistinct("i").alias("l"), F.countDistinct("j").alias("r")).agg(F.max("l"), F.max("r")).first()
+    assert max(sides) <= 100  # not all 400 rows of one side in every part
+
+
+def test_pairs_at_the_radius_are_decided_as_by_the_exact_test(spark):
+    rnd = random.Random(8)
+    here, pairs = (-36.8, -73.0), []
+    for _ in range(300):
+        angle, far = rnd.uniform(0, 2 * math.pi), 300.0 + rnd.choice([0.0, 1e-9, -1e-9, 1e-6, -1e-6, 1.0, -1.0])
+        step = math.degrees(far / 6_371_000.0)
+        pairs.append((*here, here[0] + step * math.sin(angle), here[1] + step * math.cos(angle) / math.cos(math.radians(here[0]))))
+    pairs += [(95.0, 10.0, 95.0, 10.001), (1e17, 0.0, 1e17, 0.0), (math.nan, 0.0, 0.0, 0.0), (0.0, 179.9999, 0.0, -179.9999), (0.0, 0.0, 0.0, 180.0), (1.0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(pairs, "a double, b double, c double, d double")
+    for radius in (300.0, 1e-3, 3e7):
+        exact = geo.within_m(F.col("a"), F.col("b"), F.col("c"), F.col("d"), radius)
+        near = geo.near_m(geo.unit_vector(F.col("a"), F.col("b")), geo.unit_vector(F.col("c"), F.col("d")), exact, radius)
+        assert df.filter(~near.eqNullSafe(exact)).collect() == []
+
+
 def test_neighbour_median_counts_copies(spark):
     place = (-36.8, -73.0)
     reference = spark.createDataFrame(
