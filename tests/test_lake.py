@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from listing_lake.catalog import lake as catalog_lake
 from listing_lake.catalog.views import Views
 from listing_lake.operators.increments import existing_table
-from listing_lake.plans import clean, lake
+from listing_lake.plans import clean, features, lake
 from listing_lake.plans.scoring import read_calibration
 from listing_lake.session import fresh_path
 from listing_lake.sources import snapshots, tables
@@ -57,6 +57,24 @@ def test_two_increments_equal_one_pass_and_a_rerun_adds_nothing(spark, views):
         assert dict(spark.read.parquet(f"{root}/{name}").dtypes) == {f.name: f.dataType.simpleString() for f in schema}
 
 
+def test_wide_rows_pass_the_lookups_of_gold_as_one_column(spark, views):
+    root = fresh_path(spark, "lake")
+    frozen = catalog_lake.frozen(views, root)
+    listings, details = catalog_lake.bronze(views)
+    silver = lake.add_silver(root, listings, details, views("rates"), catalog_lake.model(), by_day=None)
+    gold = features.build_features(silver, frozen.population, frozen.levels, frozen.by_comuna, frozen.scalars)
+    widths, open_ = [], [gold._jdf.queryExecution().optimizedPlan()]
+    while open_:
+        node = open_.pop()
+        if node.nodeName() == "Join":
+            widths.append(node.output().size())
+        open_ += [node.children().apply(i) for i in range(node.children().size())]
+    assert len(silver.columns) > 60 and widths and max(widths) < 45
+    kept = [c for c in silver.columns if c.endswith("_texto") or c in ("descripcion", "fecha_publicacion_aprox", "precio_clp")]
+    assert len(kept) > 20 and set(silver.columns) < set(gold.columns) and gold.count() > 0
+    assert rows(gold.select("id_aviso", *kept)) == rows(silver.join(gold.select("id_aviso"), "id_aviso", "left_semi").select("id_aviso", *kept))
+
+
 def test_calibration_of_a_version_is_fitted_once(spark):
     root, fitted = fresh_path(spark, "calibration"), []
     gold = spark.createDataFrame([("a", 1.0)], "id_aviso string, precio_clp double")
