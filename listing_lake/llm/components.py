@@ -12,26 +12,27 @@ def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node it reaches, for every node of ``edges`` (``u``, ``v``).
 
     Rounds of "large star, small star": every node's larger neighbours move to its smallest neighbour,
-    then its smaller ones do.  Each round is a written table, so a lost executor costs one round at most;
-    the number of rounds grows with the logarithm of the longest path.  Self-links are allowed, null ends
+    then its smaller ones do, until every node has one smaller neighbour that has none itself.  Each round is a
+    written table, so a lost executor costs one round at most; the number of rounds grows with the logarithm of
+    the longest path.  Self-links are allowed, null ends
     are not.  An empty table gives an empty result.
     """
     nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
     now = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    seen = None
-    while True:
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38, 0)"))).first()
-        if tuple(mark) == seen:
-            break
-        seen = tuple(mark)
-        if not mark[0]:
-            break
+    while not _stars_only(now):
         now = written(_small_star(_large_star(now)), "edges")
     return nodes.join(now.select(F.col("u").alias("node"), F.col("v").alias("to")), "node", "left").select(
         "node", F.coalesce("to", "node").alias("component")
     )
 
 
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether each ``u`` comes once and is no ``v``, which is what the rounds end in."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up > 0 and down > 0").isEmpty()
+
+
 def _least(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.min("v").alias("low"))
 

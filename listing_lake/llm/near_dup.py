@@ -164,11 +164,16 @@ _TILE, _COLUMNS = 512, 4096
 
 
 def _family_links(stars: DataFrame, groups: DataFrame, texts: DataFrame, least: float, tile: int = _TILE) -> DataFrame:
-    """Links that join groups of one family; each pair of tiles is a task of its own."""
-    families = components(stars).toDF("node", "family")
-    labelled = families.join(groups.toDF("node", "own"), "node", "left").withColumn("own", F.coalesce("own", "node"))
-    mixed = labelled.groupBy("family").agg(F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high"))
-    mixed = mixed.filter("low < high").select("family", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
+    """Links that join groups of one family; each pair of tiles is a task of its own.
+
+    ``groups`` has every node of ``stars``.  Families are found among the groups, by the stars between two of them.
+    """
+    labelled = groups.toDF("node", "own")
+    between = stars.join(labelled.toDF("u", "own_u"), "u").join(labelled.toDF("v", "own_v"), "v").filter("own_u <> own_v")
+    between = written(between.select(F.col("own_u").alias("u"), F.col("own_v").alias("v")).distinct(), "between")
+    families = components(between).toDF("own", "family")
+    labelled = labelled.join(families, "own")
+    mixed = labelled.groupBy("family").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
     tiled = labelled.join(mixed, "family").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     paired = tiled.join(texts, "node").select(
         "family", "tile", "node", "own", "text", F.explode(F.expr("sequence(0, tiles - 1)")).alias("other")
@@ -251,11 +256,13 @@ def _classes(placed: DataFrame, least: float) -> DataFrame:
     wanted = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
     texts = written(placed.join(bag.join(wanted, "node").select("node", FILE, ROW), [FILE, ROW]).select("node", "text"), "candidates")
     links = _star_links(stars, texts, least)
-    groups = components(links)
-    links = links.union(_family_links(edges.select("u", "v"), groups, texts, least))
-    groups = components(links)
+    groups = wanted.join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("own"))
+    groups = written(groups, "groups")
+    # these links are between groups, named by their smallest nodes
+    merged = components(_family_links(edges.select("u", "v"), groups, texts, least)).toDF("own", "component")
 
-    named = bag.join(groups, "node", "left").select("a", "b", "copies", "at", F.coalesce("component", "node").alias("component"))
+    named = bag.join(groups, "node", "left").withColumn("own", F.coalesce("own", "node")).join(merged, "own", "left")
+    named = named.select("a", "b", "copies", "at", F.coalesce("component", "own").alias("component"))
     heads = named.groupBy("component").agg(F.min("at").alias("head"), F.sum("copies").alias("group_size"))
     named = named.join(heads, "component").select("a", "b", "head", "group_size")
     joined = signed.filter("n > 0").join(named, ["a", "b"]).select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from listing_lake.llm import embeddings, exact_dedup, near_dup, substrings, words
 from listing_lake.llm.components import components
+from listing_lake.llm.tables import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, digest string, hits string, kept string, n long"
@@ -259,6 +260,18 @@ def test_links_across_groups_of_a_family_are_found(spark, tile):
     assert got == want and want
 
 
+def test_groups_are_not_searched_for_links_again(spark, monkeypatch):
+    """Where no family has two groups, only the links of near copies pass the components."""
+    rng, asked, rows = random.Random(4), [], []
+    for k in range(5):
+        x = prose(rng, 300)
+        rows += [(10 * k + i, " ".join([*x[: 20 * i + 7], f"e{k}-{i}", *x[20 * i + 7 :]])) for i in range(4)]
+    monkeypatch.setattr(near_dup, "components", lambda links: asked.append(links.count()) or components(links))
+    found = {r.doc_id: (r.class_id, r.group_size) for r in near_dup.classes(frame(spark, rows)).collect()}
+    assert found == {i: (i // 10 * 10, 4) for i, _ in rows}
+    assert asked[0] >= 15 and asked[1:] == [0, 0]
+
+
 def test_near_copies_are_found_behind_excerpts_of_another_size(spark):
     """Excerpts share the bands of two near copies, and stand first in them, but are too short to be alike to either."""
     rng = random.Random(12)
@@ -319,6 +332,14 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr("listing_lake.llm.components.written", lambda df, label: made.append(label) or written(df, label))
+    stars = spark.createDataFrame([(1, n) for n in range(2, 9)] + [(20, 19), (7, 7)], "u long, v long")
+    assert {r.node: r.component for r in components(stars).collect()} == {n: 1 for n in range(1, 9)} | {19: 19, 20: 19}
+    assert made == ["edges"]
+
+
 # --- vectors ---------------------------------------------------------------------------------------
 
 
