@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listing_lake.llm.components import components
+from listing_lake.llm.components import components, unite
 from listing_lake.llm.tables import written
 
 #: Rows of a tile that are multiplied at once, and pairs that are computed again at once.
@@ -106,20 +106,8 @@ def _pair(rows: pa.Table, threshold: float) -> pa.Table:
             close = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
             x, y = x[close], y[close]
             links += np.bincount(x, copies[y], len(node)).astype(np.int64) + np.bincount(y, copies[x], len(node)).astype(np.int64)
-            _unite(root, x, y)
+            unite(root, x, y)
     least = np.full(len(node), np.iinfo(np.int64).max)
     np.minimum.at(least, root, node)
     some = links > 0
     return pa.table({"node": node[some], "links": links[some], "root": least[root][some]})
-
-
-def _unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
-    """Join the sets of ``x`` and ``y``; ``root`` names the first row of each row's set."""
-    while True:
-        a, b = root[x], root[y]
-        apart = a != b
-        if not apart.any():
-            return
-        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
-        while (root[root] != root).any():
-            root[:] = root[root]

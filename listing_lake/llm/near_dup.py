@@ -169,12 +169,12 @@ def _family_links(stars: DataFrame, groups: DataFrame, texts: DataFrame, least:
     ``groups`` has every node of ``stars``.  Families are found among the groups, by the stars between two of them.
     """
     labelled = groups.toDF("node", "own")
-    between = stars.join(labelled.toDF("u", "own_u"), "u").join(labelled.toDF("v", "own_v"), "v").filter("own_u <> own_v")
+    between = stars.join(labelled.toDF("u", "own_u").hint("shuffle_hash"), "u").join(labelled.toDF("v", "own_v").hint("shuffle_hash"), "v").filter("own_u <> own_v")
     between = written(between.select(F.col("own_u").alias("u"), F.col("own_v").alias("v")).distinct(), "between")
     families = components(between).toDF("own", "family")
-    labelled = labelled.join(families, "own")
+    labelled = written(labelled.join(families.hint("shuffle_hash"), "own"), "families")
     mixed = labelled.groupBy("family").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    tiled = labelled.join(mixed, "family").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    tiled = labelled.join(mixed.hint("shuffle_hash"), "family").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     paired = tiled.join(texts, "node").select(
         "family", "tile", "node", "own", "text", F.explode(F.expr("sequence(0, tiles - 1)")).alias("other")
     ).withColumns({"i": F.least("tile", "other"), "j": F.greatest("tile", "other")})
@@ -248,24 +248,24 @@ def _classes(placed: DataFrame, least: float) -> DataFrame:
     # min / max of two totals bounds the similarity, so it chooses the pairs that are compared with the first;
     # the family keeps the others too, since two members of a band may be alike when its first is of another size
     near = F.least("n", "first.n") >= F.greatest("n", "first.n") * least - 1e-9
-    edges = marks.join(shared, "mark").filter(F.col("node") != F.col("first.node")).select(
+    edges = marks.join(shared.hint("shuffle_hash"), "mark").filter(F.col("node") != F.col("first.node")).select(
         F.col("first.node").alias("u"), F.col("node").alias("v"), near.alias("near")
     ).distinct()
     edges = written(edges, "stars")
     stars = edges.filter("near").select("u", "v")
     wanted = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
-    texts = written(placed.join(bag.join(wanted, "node").select("node", FILE, ROW), [FILE, ROW]).select("node", "text"), "candidates")
+    texts = written(placed.join(bag.join(wanted.hint("shuffle_hash"), "node").select("node", FILE, ROW), [FILE, ROW]).select("node", "text"), "candidates")
     links = _star_links(stars, texts, least)
-    groups = wanted.join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("own"))
+    groups = wanted.join(components(links).hint("shuffle_hash"), "node", "left").select("node", F.coalesce("component", "node").alias("own"))
     groups = written(groups, "groups")
     # these links are between groups, named by their smallest nodes
     merged = components(_family_links(edges.select("u", "v"), groups, texts, least)).toDF("own", "component")
 
-    named = bag.join(groups, "node", "left").withColumn("own", F.coalesce("own", "node")).join(merged, "own", "left")
-    named = named.select("a", "b", "copies", "at", F.coalesce("component", "own").alias("component"))
+    named = bag.join(groups.hint("shuffle_hash"), "node", "left").withColumn("own", F.coalesce("own", "node")).join(merged.hint("shuffle_hash"), "own", "left")
+    named = written(named.select("a", "b", "copies", "at", F.coalesce("component", "own").alias("component")), "named")
     heads = named.groupBy("component").agg(F.min("at").alias("head"), F.sum("copies").alias("group_size"))
-    named = named.join(heads, "component").select("a", "b", "head", "group_size")
-    joined = signed.filter("n > 0").join(named, ["a", "b"]).select(
+    named = named.join(heads.hint("shuffle_hash"), "component").select("a", "b", "head", "group_size")
+    joined = signed.filter("n > 0").join(named.hint("shuffle_hash"), ["a", "b"]).select(
         "doc_id", F.col("head.doc_id").alias("class_id"), "group_size", order.eqNullSafe(F.col("head")).alias("kept"), FILE, ROW
     )
     alone = signed.filter("n = 0").select(

@@ -10,8 +10,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan
 from listing_lake.llm import embeddings, exact_dedup, near_dup, substrings, words
-from listing_lake.llm.components import components
+from listing_lake.llm.components import _put_together, components
 from listing_lake.llm.tables import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -272,6 +273,16 @@ def test_groups_are_not_searched_for_links_again(spark, monkeypatch):
     assert asked[0] >= 15 and asked[1:] == [0, 0]
 
 
+def test_groups_and_names_are_not_broadcast(spark):
+    """Tables that grow with the documents are shuffled, however small they are: each broadcast costs the driver memory."""
+    rng = random.Random(6)
+    x = prose(rng, 200)
+    rows = [(i, " ".join([*x[: 30 * i + 7], f"e{i}", *x[30 * i + 7 :]])) for i in range(4)]
+    found = near_dup.classes(frame(spark, rows))
+    assert {(r.doc_id, r.class_id, r.group_size) for r in found.collect()} == {(i, 0, 4) for i in range(4)}
+    assert "ShuffledHashJoin" in plan(found) and "Broadcast" not in plan(found)
+
+
 def test_near_copies_are_found_behind_excerpts_of_another_size(spark):
     """Excerpts share the bands of two near copies, and stand first in them, but are too short to be alike to either."""
     rng = random.Random(12)
@@ -340,6 +351,28 @@ def test_components_of_stars_take_no_round(spark, monkeypatch):
     assert made == ["edges"]
 
 
+def test_components_of_a_small_graph_take_no_round(spark, monkeypatch):
+    """A path is the worst case of the rounds; its few edges come into one task."""
+    made = []
+    monkeypatch.setattr("listing_lake.llm.components.written", lambda df, label: made.append(label) or written(df, label))
+    path = spark.createDataFrame([(n + 1, n) for n in range(3, 400)], "u long, v long")
+    found = components(path)
+    assert {r.node: r.component for r in found.collect()} == {n: 3 for n in range(3, 401)}
+    assert made == ["edges"] and "Broadcast" not in plan(found)
+
+
+def test_components_over_many_tasks(spark, monkeypatch):
+    """Edges that meet in no task, and come a few at a time, need the rounds."""
+    rng, made = random.Random(8), []
+    monkeypatch.setattr("listing_lake.llm.components._AT_ONCE", 3)
+    monkeypatch.setattr("listing_lake.llm.components.written", lambda df, label: made.append(label) or written(df, label))
+    links = [(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(110)] + [(n + 1, n) for n in range(200, 260)]
+    monkeypatch.setattr("listing_lake.llm.components._put_together", lambda e: _put_together(e.repartition(16, "u", "v").sortWithinPartitions("v")))
+    got = components(spark.createDataFrame(links, "u long, v long"))
+    assert {r.node: r.component for r in got.collect()} == least_reachable({n for e in links for n in e}, links)
+    assert len(made) > 2
+
+
 # --- vectors ---------------------------------------------------------------------------------------
 
 
