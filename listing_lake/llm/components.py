@@ -13,6 +13,8 @@ from listing_lake.llm.tables import written
 
 #: Edges that a task puts together at once.
 _AT_ONCE = 1 << 19
+#: Shuffle partitions of edges, two numbers each, that one task takes.
+_PARTS = 16
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -50,7 +52,8 @@ def unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
 
 def _put_together(edges: DataFrame) -> DataFrame:
     """The same components with, in each task, one edge from each node to the smallest one that its edges reach."""
-    return edges.mapInArrow(_stars, "u long, v long")
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")) // _PARTS
+    return edges.coalesce(max(1, tasks)).mapInArrow(_stars, "u long, v long")
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -361,10 +361,26 @@ def test_components_of_a_small_graph_take_no_round(spark, monkeypatch):
     assert made == ["edges"] and "Broadcast" not in plan(found)
 
 
+def test_components_are_written_in_few_files(spark):
+    """However many partitions the shuffle has: each file costs every executor two processes where Hadoop has no native library."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "48")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        links = spark.createDataFrame([(n, n - n % 5) for n in range(1, 300)], "u long, v long")
+        found = components(links)
+        assert {r.node: r.component for r in found.collect()} == {n: n - n % 5 for n in range(300) if n} | {0: 0}
+        assert len(found.inputFiles()) <= 3
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_components_over_many_tasks(spark, monkeypatch):
     """Edges that meet in no task, and come a few at a time, need the rounds."""
     rng, made = random.Random(8), []
     monkeypatch.setattr("listing_lake.llm.components._AT_ONCE", 3)
+    monkeypatch.setattr("listing_lake.llm.components._PARTS", 1)
     monkeypatch.setattr("listing_lake.llm.components.written", lambda df, label: made.append(label) or written(df, label))
     links = [(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(110)] + [(n + 1, n) for n in range(200, 260)]
     monkeypatch.setattr("listing_lake.llm.components._put_together", lambda e: _put_together(e.repartition(16, "u", "v").sortWithinPartitions("v")))
