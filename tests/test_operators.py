@@ -99,6 +99,38 @@ def test_lookup_beyond_the_limit_is_not_broadcast(spark):
     assert rows(L.lookup_or_default(left, right, "k", "v", 9)) == [(i, 1 if i < 50 else 9) for i in sorted(range(100), key=lambda i: repr((i, 1 if i < 50 else 9)))]
 
 
+def test_joins_with_written_layers_are_not_broadcast(spark, tmp_path):
+    # the files of these tables are tiny, as those of wide layers look when only their keys are read
+    keys = spark.range(50).select(F.col("id").alias("k"), F.concat(F.lit("x"), "id").alias("v"), F.lit("v1").alias("version"))
+    keys.write.parquet(f"{tmp_path}/layer")
+    layer, more = spark.read.parquet(f"{tmp_path}/layer"), spark.range(60).select(F.col("id").alias("k"), F.lit("y").alias("v"))
+    joined = {
+        "pending": increments.pending(more, layer, "k"), "version": increments.pending_for_version(more, layer, "k", "version", "v1"),
+        "update": merge.merge_update(more, layer, "k", ["v"]), "lookup": L.lookup_join(more, layer.select("k", "version"), "k", max_rows=10),
+        "none": more.join(layer.select("k", "version"), "k"),
+    }
+    texts = {name: "\n".join(x for x in plan(df).splitlines() if "Join" in x and "BuildRight, LeftOuter" not in x or "SortMergeJoin" in x) for name, df in joined.items()}
+    assert "BroadcastHashJoin" in texts.pop("none")
+    assert all("SortMergeJoin" in t for t in texts.values()), texts
+    assert [joined[x].count() for x in ("pending", "version", "update", "lookup")] == [10, 10, 60, 60]
+    assert rows(joined["update"].filter("v != 'y'")) == rows(layer.select("k", "v"))
+
+
+def test_a_lookup_passes_on_what_its_rows_are_spread_by(spark):
+    left = spark.range(40).select(F.col("id"), (F.col("id") % 3).alias("k"), F.lit("w").alias("wide"))
+    right = spark.range(2).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    both = [L.lookup_join(left, right, "k", max_rows=n, spread=["id"], counted=left.select("k")) for n in (0, 10)]
+    assert rows(both[0]) == rows(both[1]) == rows(left.join(right, "k", "left"))
+
+
+def test_distance_candidates_are_not_broadcast(spark, tmp_path):
+    spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "a double, b double").write.parquet(f"{tmp_path}/places")
+    left = spark.read.parquet(f"{tmp_path}/places")
+    pairs = spatial.grid_candidates(left, left.toDF("c", "d"), 300.0, ("a", "b"), ("c", "d"))
+    assert "SortMergeJoin" in plan(pairs) and "BroadcastHashJoin" not in plan(pairs)
+    assert rows(pairs.select("a", "c")) == [(0.0, 0.0), (1.0, 1.0)]
+
+
 # ---------------------------------------------------------------- distance joins
 
 @pytest.mark.parametrize("center", [(-36.8, -73.0), (10.0, 179.9999), (-89.9995, 20.0), (0.0, 0.0)])
