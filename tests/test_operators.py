@@ -186,6 +186,40 @@ def test_crowded_cells_are_cut_into_square_tiles(spark):
     assert max(sides) <= 100  # not all 400 rows of one side in every part
 
 
+def test_rows_of_a_few_crowded_cells_meet_without_being_repeated(spark, monkeypatch):
+    rnd = random.Random(3)
+
+    def scatter(n, lat, lon, size):
+        return [(lat + rnd.uniform(0, size), (lon + rnd.uniform(0, size) + 180) % 360 - 180) for _ in range(n)]
+
+    odd = [(math.nan, 0.0), (95.0, 10.0), (-36.8, math.nan), (-36.799, 287.001)] + [(-36.799, -72.999)] * 4
+    left = scatter(200, -36.8, -73.0, 0.004) + scatter(30, -36.0, -72.0, 1) + scatter(60, 10.0, 179.999, 0.002) + odd
+    right = scatter(250, -36.8, -73.0, 0.004) + left[:40] + scatter(60, 10.0, 179.999, 0.002) + odd
+    ldf = spark.createDataFrame([(i, *p) for i, p in enumerate(left)] + [(999, None, 1.0)], "i int, latitud double, longitud double")
+    rdf = spark.createDataFrame([(j, *p) for j, p in enumerate(right)] + [(999, 1.0, None)], "j int, ref_latitud double, ref_longitud double")
+    exact = geo.within_m(F.col("latitud"), F.col("longitud"), F.col("ref_latitud"), F.col("ref_longitud"), 60.0)
+    expected = rows(ldf.crossJoin(rdf).filter(exact).select("i", "j"))
+    monkeypatch.setattr(spatial, "BLOCK_ROWS", 16)
+    spots = spatial.distance_join(ldf, rdf, 60.0, cell_pairs=50)
+    assert plan(spots).count("CartesianProduct") == 1 and "Union" in plan(spots)
+    assert rows(spots.select("i", "j")) == expected and len(expected) > 2000
+    monkeypatch.setattr(spatial, "FEW_CELLS", 2)  # too many crowded cells: tiles
+    tiles = spatial.distance_join(ldf, rdf, 60.0, cell_pairs=50)
+    assert "CartesianProduct" not in plan(tiles) and "BroadcastHashJoin" not in plan(tiles.select("i", "j")).split("Union")[0].split("SortMergeJoin")[0]
+    assert rows(tiles.select("i", "j")) == expected
+    monkeypatch.setattr(spatial, "SQUARE_ROWS", 2)
+    monkeypatch.setattr(spatial, "FEW_CELLS", 64)
+    assert rows(spatial.distance_join(ldf, rdf, 60.0, cell_pairs=50).select("i", "j")) == expected
+
+
+def test_tiles_repeat_rows_a_few_times_on_average(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "COPIES", 2)
+    counts = spark.createDataFrame([(0, i, 4000, 4000, 1.6e7) for i in range(3)], "__cy int, __cx int, __l int, __r int, __pairs double")
+    _, cut = spatial._cut_cells(counts, 100, False, spatial.TESTED_PAIRS)
+    copies = cut.join(counts, ["__cy", "__cx"]).agg(F.sum(F.col("__l") * F.col("__rights") + F.col("__r") * F.col("__lefts"))).first()[0]
+    assert 24_000 < copies <= 3 * 24_000  # 100 pairs a tile would repeat each row 400 times
+
+
 def test_pairs_at_the_radius_are_decided_as_by_the_exact_test(spark):
     rnd = random.Random(8)
     here, pairs = (-36.8, -73.0), []
